@@ -1,0 +1,17 @@
+"""Summing measures up to a coarser key."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def roll_up(df: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:
+    """One row per key with the measures summed.
+
+    Tasks sum their own rows before the shuffle, so a key that holds much of the
+    table still sends at most one row per task.
+    """
+    return df.groupBy(key).agg(*(F.sum(m).alias(m) for m in measures))
