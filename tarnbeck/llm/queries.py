@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from tarnbeck.llm.language import op1_language
+from tarnbeck.llm.mixing import op3_mixing
 from tarnbeck.llm.quality import op7_quality
+from tarnbeck.llm.simhash import op8_simhash
 from tarnbeck.llm.toxicity import op9_toxicity
+from tarnbeck.llm.urls import op4_urls
+from tarnbeck.llm.windows import OP6_SQL, op6_windows
 
 QUERIES = {
     "op1_language": op1_language,
+    "op3_mixing": op3_mixing,
+    "op4_urls": op4_urls,
+    "op6_windows": op6_windows,
     "op7_quality": op7_quality,
+    "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_windows": OP6_SQL}
