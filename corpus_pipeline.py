@@ -1,27 +1,74 @@
-"""A training-data pipeline over `documents`: each stage works on all that the one before it kept."""
+"""A training-data pipeline over `documents`: each stage works on all that the one before it kept.
+
+Rows that share a doc_id are taken for one document: a stage keeps or drops them together.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnbeck.llm.decontaminate import contaminated
 from tarnbeck.llm.language import UNKNOWN, identify_language
+from tarnbeck.llm.mixing import mix
+from tarnbeck.llm.simhash import near_duplicates
+from tarnbeck.llm.store import stored
 from tarnbeck.llm.text import in_fold
+from tarnbeck.llm.windows import repeated_windows
 from tarnbeck.sources.tables import table
 
 
-def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go; `lang` is what the model says of the others."""
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have no language go (null or without letters); the others get the one found."""
     learn = docs.where(~in_fold("doc_id", 4, 2) & F.col("lang").isNotNull())
-    return identify_language(docs, learn, runs=False)
+    found = identify_language(docs, learn, runs=False, carry=tuple(docs.columns))
+    return found.where(F.col("lang_pred") != UNKNOWN).withColumn("lang", F.col("lang_pred")).select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that link the one with the smallest id stays. Those without an id stay or go together."""
+    found = near_duplicates(docs)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first"))
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of passages that an earlier document has are cut; documents of which nothing is left go."""
+    found = repeated_windows(docs, carry=tuple(docs.columns))
+    cut = F.col("n_removed") > 0
+    return (
+        found.where(~cut | (F.col("kept") != ""))
+        .withColumn("n_chars", F.when(cut, F.length("kept").cast("long")).otherwise(F.col("n_chars")))
+        .withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text")))
+        .select(docs.columns)
+    )
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All that is left, with its place in a mixture of the sources by the square root of their sizes."""
+    return mix(docs)
+
 
+STAGES = [
+    ("language", language),
+    ("near_copies", near_copies),
+    ("repeated_passages", repeated_passages),
+    ("benchmark_leaks", benchmark_leaks),
+    ("mixture", mixture),
+]
 
-STAGES: list = []
+#: Models and fingerprints are not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, stored(docs) if i else docs, sf_dir)
     return docs

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnbeck.llm.labelled import sample_per_label
-from tarnbeck.llm.text import BYTE_BASE, Spans, Words, chunked, in_fold, text_bytes
+from tarnbeck.llm.text import BYTE_BASE, Spans, Words, chunked, in_fold, text_bytes, with_columns
 from tarnbeck.sources.tables import table
 
 SIZES = (2, 3, 4)
@@ -244,9 +244,13 @@ def label_texts(texts: list[bytes | None], field: Field) -> Iterator[tuple[str,
 
 
 def identify_language(
-    documents: DataFrame, labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, runs: bool = True
+    documents: DataFrame,
+    labelled: DataFrame,
+    per_language: int = SAMPLE_PER_LANGUAGE,
+    runs: bool = True,
+    carry: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """doc_id, lang_pred, score and, unless `runs` is false, the runs of words in one language.
+    """lang_pred, score and, unless `runs` is false, the runs of words in one language, after the columns in `carry`.
 
     `labelled` has doc_id, text and lang; at most `per_language` of its rows of each
     language are learnt from. A null text, one without letters, and every text when
@@ -257,7 +261,8 @@ def identify_language(
     sample = sample_per_label(labelled, "lang", per_language)
     field = train([r.text.encode() for r in sample], [r.lang for r in sample])
     model = documents.sparkSession.sparkContext.broadcast(field)
-    docs = documents.select("doc_id", "text")
+    carry = tuple(c for c in carry if c not in ("lang_pred", "score", "runs"))
+    docs = documents.select(F.col("text").alias("_text"), *carry)
     run_type = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def found(label: np.ndarray) -> list[dict]:
@@ -270,18 +275,18 @@ def identify_language(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores, all_runs = [], [], []
-            for name, score, label in label_texts(text_bytes(batch), model.value):
+            for name, score, label in label_texts(text_bytes(batch, "_text"), model.value):
                 names.append(name)
                 scores.append(score)
                 if runs:
                     all_runs.append(found(label))
-            columns = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            if runs:
-                columns.append(pa.array(all_runs, run_type))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "runs"][: len(columns)])
+            new = {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
+            yield with_columns(batch, ("_text",), **new, **({"runs": pa.array(all_runs, run_type)} if runs else {}))
 
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double"
-    return docs.mapInArrow(judge, schema + ", runs array<struct<first:long,end:long,lang:string>>" * runs)
+    schema = docs.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    if runs:
+        schema = schema.add("runs", "array<struct<first:bigint,end:bigint,lang:string>>")
+    return docs.mapInArrow(judge, schema)
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:

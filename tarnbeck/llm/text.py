@@ -91,17 +91,26 @@ def _plain(folded: bool) -> np.ndarray:
     return table
 
 
+def _letters() -> np.ndarray:
+    """Like folded, with ASCII marks as separators too."""
+    table = _plain(True)
+    for low, high in ((0x21, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x7F)):
+        table[low:high] = 0x20
+    return table
+
+
 WHITE = white()
 PLAIN = {folded: _plain(folded) for folded in (False, True)}
+LETTERS = _letters()
 
 
 class Words:
     """The words of some texts. Separators are blanks in `data`; a blank stands before and after each text."""
 
-    def __init__(self, texts: list[bytes], folded: bool = False):
+    def __init__(self, texts: list[bytes], folded: bool = False, table: np.ndarray | None = None):
         self.n_docs = len(texts)
         raw = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
-        self.data = PLAIN[folded][raw]
+        self.data = (PLAIN[folded] if table is None else table)[raw]
         sizes = np.fromiter(map(len, texts), np.int64, self.n_docs)
         self.doc_start = np.cumsum(sizes + 1) - sizes
         blank = self.data == 0x20

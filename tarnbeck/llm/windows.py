@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tarnbeck.llm.sketch import estimated_repeated, repeated_cells
 from tarnbeck.llm.store import stored
-from tarnbeck.llm.text import OTHER_BASE, WORD_BASE, Spans, Words, chunked, text_bytes
+from tarnbeck.llm.text import OTHER_BASE, WORD_BASE, Spans, Words, chunked, text_bytes, with_columns
 from tarnbeck.sources.tables import table
 
 WINDOW = 50
@@ -88,17 +88,22 @@ def _later(candidates: DataFrame, hot: DataFrame | None) -> DataFrame:
 
 
 def repeated_windows(
-    documents: DataFrame, window: int = WINDOW, bits: int = SKETCH_BITS, hot_texts: int = HOT_TEXTS
+    documents: DataFrame,
+    window: int = WINDOW,
+    bits: int = SKETCH_BITS,
+    hot_texts: int = HOT_TEXTS,
+    carry: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """doc_id, n_words, n_removed and `kept`, the words left joined by one blank, for each row.
+    """n_words, n_removed and `kept`, the words left joined by one blank, after the columns in `carry`, for each row.
 
     Words are runs of bytes other than the blank and 0x09 to 0x0D, unchanged. A word
     goes if a window of `window` words over it also starts in a document with a smaller
     doc_id; windows are judged on the input. A null text has no words. Rows that repeat
     a doc_id do not remove each other's windows. A null doc_id is larger than any other.
-    Other columns are not read.
+    Other columns are not read; a carried column with the name of a new one gives way to it.
     """
     docs = documents.select("doc_id", "text")
+    carry = tuple(c for c in carry if c not in ("n_words", "n_removed", "kept"))
 
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for *_, h, _ in _texts(text_bytes(batch), window):
@@ -110,13 +115,14 @@ def repeated_windows(
     hot = stored(hot.select("h", "g"))
     later = _later(_candidates(docs, sketch, bits, window), None if hot.isEmpty() else hot)
     by_doc = later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("h").alias("_gone"))
-    joined = docs.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "_gone")
+    rows = documents.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"), *carry)
+    joined = rows.join(by_doc, F.col("_doc").eqNullSafe(F.col("_id")), "left").drop("_doc", "_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gone = batch.column("_gone")
             n, removed, kept = [], [], []
-            for row, text, words, i, h, _ in _texts(text_bytes(batch), window):
+            for row, text, words, i, h, _ in _texts(text_bytes(batch, "_text"), window):
                 first, count = words.first[i], words.count[i]
                 covered = np.zeros(count + 1, np.int64)
                 if gone[row].is_valid:
@@ -129,13 +135,16 @@ def repeated_windows(
                 n.append(count)
                 removed.append(count - len(left))
                 kept.append(b" ".join(left))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
-
-    return joined.mapInArrow(cut, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept string")
+            yield with_columns(
+                batch,
+                ("_text", "_gone"),
+                n_words=pa.array(n, pa.int64()),
+                n_removed=pa.array(removed, pa.int64()),
+                kept=pa.array(kept, pa.binary()).cast(pa.string()),
+            )
+
+    schema = joined.drop("_text", "_gone").schema
+    return joined.mapInArrow(cut, schema.add("n_words", "long").add("n_removed", "long").add("kept", "string"))
 
 
 def op6_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
