@@ -19,7 +19,8 @@ def write(folder, lineitem, orders, customer, nation):
     frame(lineitem, {"l_orderkey": "Int64", "l_extendedprice": "float64", "l_discount": "float64"}).to_parquet(
         folder / "lineitem.parquet"
     )
-    frame(orders, {"o_orderkey": "Int64", "o_custkey": "Int64"}).to_parquet(folder / "orders.parquet")
+    # Several row groups, so that several tasks can read them.
+    frame(orders, {"o_orderkey": "Int64", "o_custkey": "Int64"}).to_parquet(folder / "orders.parquet", row_group_size=5000)
     frame(customer, {"c_custkey": "Int64", "c_nationkey": "Int32"}).to_parquet(folder / "customer.parquet")
     frame(nation, {"n_nationkey": "Int32", "n_name": "string"}).to_parquet(folder / "nation.parquet")
     return str(folder)
@@ -117,13 +118,46 @@ def test_result_does_not_depend_on_partitioning(spark, conf):
     assert len(seen) == 1
 
 
-@pytest.mark.parametrize("column,row", [("price", (1, 10.001, 0.1)), ("discount", (1, 10.0, 0.125)), ("price", (1, float("inf"), 0.1))])
-def test_inexact_input_is_refused(spark, tmp_path, column, row):
-    folder = write(tmp_path, [row], [(1, 5)], [(5, 0)], [(0, "A")])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_repeated_order_with_top_prices(spark, conf, tmp_path, ansi):
+    """10,000 lines on an order that is there 10,000 times: the total is past a bigint, with and without ANSI mode."""
+    conf("spark.sql.ansi.enabled", ansi)
+    price = 99_999_999_999.99
+    folder = write(tmp_path, [(1, price, 0.0)] * 10_000, [(1, 5)] * 10_000, [(5, 0)], [(0, "A")])
+    assert ours(spark, folder) == [("A", 10**8, float(Decimal("99999999999.99") * 10**8))]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "column,price,discount",
+    [
+        ("price", 10.001, 0.1),
+        ("price", 10.0001, 0.1),
+        ("price", 10.00009, 0.1),
+        ("price", float("inf"), 0.1),
+        ("price", 1e13, 0.1),
+        ("discount", 10.0, 0.125),
+        ("discount", 10.0, 0.0501),
+        ("discount", 10.0, 0.05009),
+        ("discount", 10.0, 10.0),
+        ("discount", 10.0, float("-inf")),
+    ],
+)
+def test_inexact_input_is_refused(spark, conf, tmp_path, column, price, discount, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    folder = write(tmp_path, [(1, price, discount)], [(1, 5)], [(5, 0)], [(0, "A")])
     with pytest.raises(Exception, match=f"{column} is not exact"):
         revenue_by_nation(spark, folder).collect()
 
 
+def test_two_decimals_are_accepted_up_to_the_limit(spark, tmp_path):
+    rng = random.Random(5)
+    prices = [rng.randrange(10**15) / 100 for _ in range(20_000)]
+    folder = write(tmp_path, [(1, p, 0.0) for p in prices], [(1, 5)], [(5, 0)], [(0, "A")])
+    total = sum(int(Decimal(repr(p)) * 100) for p in prices)
+    assert ours(spark, folder) == [("A", len(prices), float(Decimal(total) / 100))]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -140,16 +174,43 @@ def test_scans_read_only_the_needed_columns(spark):
     assert "PushedFilters: [IsNotNull(l_orderkey)]" in text
 
 
-def test_large_tables_shuffle_once_per_key(spark, conf):
-    """With nothing small enough to broadcast, a roll-up's shuffle serves the join after it."""
+def test_one_shuffle_when_the_other_tables_are_broadcast(spark, conf):
+    """Only the nations' partial sums are shuffled: lineitem stays where it is read."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "1g")
+    text = plan(revenue_by_nation(spark, "/root/testdata/sf0.01"))
+    assert re.findall(r"Exchange hashpartitioning\((\w+?)#", text) == ["n_name"]
+    assert not re.search("SortMergeJoin|Cartesian|NestedLoop|Python", text)
+    assert re.search(r"HashAggregate\(keys=\[n_name#[^\n]*partial_sum", text)
+
+
+def test_large_tables_shuffle_once_per_join(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     text = plan(revenue_by_nation(spark, "/root/testdata/sf0.01"))
     assert text.count("SortMergeJoin") == 3
     assert not re.search("Cartesian|NestedLoop|Python", text)
     keys = re.findall(r"Exchange hashpartitioning\((\w+?)#", text)
-    assert sorted(keys) == [
-        "c_custkey", "c_nationkey", "l_orderkey", "n_name", "n_nationkey", "o_custkey", "o_orderkey",
-    ]
-    # Every roll-up sums within its tasks before it shuffles.
-    partial = re.findall(r"HashAggregate\(keys=\[(\w+?)#[^\n]*partial_sum", text)
-    assert sorted(partial) == ["c_nationkey", "l_orderkey", "n_name", "o_custkey"]
+    assert sorted(keys) == ["c_custkey", "c_nationkey", "l_orderkey", "n_name", "n_nationkey", "o_custkey", "o_orderkey"]
+
+
+@pytest.mark.parametrize("hot", ["o_orderkey", "o_custkey"])
+def test_hot_keys_are_split(spark, conf, tmp_path, hot):
+    """A third of orders on one repeated key: adaptive execution deals its rows to several tasks."""
+    rng = random.Random(9)
+    n = 60_000
+    orders = [
+        (7 if hot == "o_orderkey" and k % 3 == 0 else k, 1 if hot == "o_custkey" and k % 3 == 0 else rng.randrange(1000))
+        for k in range(n)
+    ]
+    lineitem = [(rng.randrange(8, n), 1.25, 0.0) for _ in range(20_000)] + [(7, 2.5, 0.1)] * 5
+    tables = (lineitem, orders, [(k, k % 5) for k in range(1000)], [(k, f"N{k}") for k in range(5)])
+    folder = write(tmp_path, *tables)
+    # With the small tables broadcast the orders come to the last join from many tasks, as they do at scale.
+    conf("spark.sql.autoBroadcastJoinThreshold", "20k" if hot == "o_orderkey" else "-1")
+    conf("spark.sql.shuffle.partitions", "64")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
+    conf("spark.sql.files.maxPartitionBytes", "64k")
+    df = revenue_by_nation(spark, folder)
+    assert sorted(tuple(r) for r in df.collect()) == brute_force(*tables)
+    assert "skew=true" in plan(df)
