@@ -273,25 +273,29 @@ def repeated_strings(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, kept, spans = [], [], []
-            gone = batch.column("_gone")
-            for i, text in enumerate(text_bytes(batch)):
-                text = text or b""
-                cover = np.zeros(len(text) + 1, np.int64)
-                if gone[i].is_valid:
-                    pairs = gone[i].values
-                    np.add.at(cover, pairs.field("low").to_numpy(), 1)
-                    np.add.at(cover, pairs.field("high").to_numpy(), -1)
-                covered = np.concatenate([[False], np.cumsum(cover)[:-1] > 0, [False]])
-                edge = np.diff(covered.astype(np.int8))
-                low, high = np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
-                n.append(len(text))
-                kept.append(b"".join(text[a:b] for a, b in zip([0, *high], [*low, len(text)], strict=True)))
-                spans.append([{"low": a, "high": b} for a, b in zip(low, high, strict=True)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, span_type)],
-                names=["doc_id", "n_bytes", "kept", "spans"],
-            )
+            for base, chunk in chunked(text_bytes(batch)):
+                kept, spans = [], []
+                gone = batch.column("_gone").slice(base, len(chunk))
+                for i, text in enumerate(chunk):
+                    cover = np.zeros(len(text) + 1, np.int64)
+                    if gone[i].is_valid:
+                        pairs = gone[i].values
+                        np.add.at(cover, pairs.field("low").to_numpy(), 1)
+                        np.add.at(cover, pairs.field("high").to_numpy(), -1)
+                    covered = np.concatenate([[False], np.cumsum(cover)[:-1] > 0, [False]])
+                    edge = np.diff(covered.astype(np.int8))
+                    low, high = np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
+                    kept.append(b"".join(text[a:b] for a, b in zip([0, *high], [*low, len(text)], strict=True)))
+                    spans.append([{"low": a, "high": b} for a, b in zip(low, high, strict=True)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(base, len(chunk)),
+                        pa.array(list(map(len, chunk)), pa.int64()),
+                        pa.array(kept, pa.binary()),
+                        pa.array(spans, span_type),
+                    ],
+                    names=["doc_id", "n_bytes", "kept", "spans"],
+                )
 
     return joined.mapInArrow(
         cut, f"doc_id {id_type}, n_bytes long, kept binary, spans array<struct<low:long,high:long>>"

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1_000_000
 # Multipliers for hashes that wrap at 64 bits: odd, otherwise arbitrary.
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xC2B2AE3D27D4EB4F
@@ -44,7 +44,7 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2**64."""
     known = _powers.get(base)
     if known is None or len(known[0]) < n:
-        size = max(n, CHUNK_BYTES * 2)
+        size = 1 << max(n - 1, 1).bit_length()
         pair = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, _U64)
@@ -170,24 +170,29 @@ class Words:
         return totals, counts
 
 
-def chunked(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of CHUNK_BYTES or one text, each with the index of its first; null becomes empty."""
+def text_bytes(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
+    return batch.column(name).cast(pa.binary())
+
+
+def chunked(texts: pa.Array | list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of CHUNK_BYTES or one text, each with the index of its first; null becomes empty.
+
+    Of a column only the run at hand is taken apart into texts.
+    """
     start, size, run = 0, 0, []
-    for i, text in enumerate(texts):
-        text = text or b""
-        if run and size + len(text) > CHUNK_BYTES:
-            yield start, run
-            start, size, run = i, 0, []
-        run.append(text)
-        size += len(text)
+    for at in range(0, len(texts), 64):
+        part = texts[at : at + 64]
+        for i, text in enumerate(part.to_pylist() if isinstance(part, pa.Array) else part, at):
+            text = text or b""
+            if run and size + len(text) > CHUNK_BYTES:
+                yield start, run
+                start, size, run = i, 0, []
+            run.append(text)
+            size += len(text)
     if run:
         yield start, run
 
 
-def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
-    return batch.column(name).cast(pa.large_binary()).to_pylist()
-
-
 def with_columns(batch: pa.RecordBatch, drop: tuple[str, ...], **more: pa.Array) -> pa.RecordBatch:
     """The batch without some columns and with others after it."""
     kept = [n for n in batch.schema.names if n not in drop]

@@ -35,12 +35,11 @@ def window_hashes(words: Words, i: int, hashes: np.ndarray, window: int) -> tupl
     return Spans(own, WORD_BASE).all(window), Spans(own, OTHER_BASE).all(window) >> np.uint64(32)
 
 
-def _texts(values: list[bytes | None], window: int) -> Iterator[tuple[int, bytes, Words, int, np.ndarray, np.ndarray]]:
-    for base, chunk in chunked(values):
+def _chunks(texts: pa.Array, window: int) -> Iterator[tuple[int, list[bytes], Words, list[tuple[np.ndarray, np.ndarray]]]]:
+    for base, chunk in chunked(texts):
         words = Words(chunk)
         hashes = words.hashes()
-        for i, text in enumerate(chunk):
-            yield base + i, text, words, i, *window_hashes(words, i, hashes, window)
+        yield base, chunk, words, [window_hashes(words, i, hashes, window) for i in range(len(chunk))]
 
 
 def _candidates(docs: DataFrame, sketch: Broadcast, bits: int, window: int) -> DataFrame:
@@ -48,19 +47,19 @@ def _candidates(docs: DataFrame, sketch: Broadcast, bits: int, window: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, hs, gs = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-            for row, _, _, _, h, g in _texts(text_bytes(batch), window):
-                h, first = np.unique(h, return_index=True)
-                keep = estimated_repeated(h, sketch.value, bits)
-                hs.append(h[keep])
-                gs.append(g[first[keep]])
-                rows.append(np.full(len(hs[-1]), row))
-            at = np.concatenate([np.zeros(0, np.int64), *rows])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(at)), pa.array(np.concatenate(hs).view(np.int64)),
-                 pa.array(np.concatenate(gs).astype(np.int64))],
-                names=["doc_id", "h", "g"],
-            )
+            for base, _, _, found in _chunks(text_bytes(batch), window):
+                rows, hs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+                for row, (h, g) in enumerate(found, base):
+                    h, first = np.unique(h, return_index=True)
+                    keep = estimated_repeated(h, sketch.value, bits)
+                    hs.append(h[keep])
+                    gs.append(g[first[keep]])
+                    rows.append(np.full(len(hs[-1]), row))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(np.concatenate(rows))),
+                     pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(gs).astype(np.int64))],
+                    names=["doc_id", "h", "g"],
+                )
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, h long, g long")
 
@@ -103,11 +102,12 @@ def repeated_windows(
     Other columns are not read; a carried column with the name of a new one gives way to it.
     """
     docs = documents.select("doc_id", "text")
-    carry = tuple(c for c in carry if c not in ("n_words", "n_removed", "kept"))
+    carry = tuple(c for c in carry if c not in ("n_words", "n_removed", "kept", "_doc", "_id", "_gone"))
 
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for *_, h, _ in _texts(text_bytes(batch), window):
-            yield h
+        for *_, found in _chunks(text_bytes(batch), window):
+            for h, _ in found:
+                yield h
 
     sketch = repeated_cells(docs.select("text"), hashes, bits)
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(100)) == 0)
@@ -115,35 +115,39 @@ def repeated_windows(
     hot = stored(hot.select("h", "g"))
     later = _later(_candidates(docs, sketch, bits, window), None if hot.isEmpty() else hot)
     by_doc = later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("h").alias("_gone"))
-    rows = documents.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"), *carry)
+    rows = documents.select("text", F.col("doc_id").alias("_doc"), *(c for c in carry if c not in ("text", "_doc")))
+    unread = ("_gone",) if "text" in carry else ("text", "_gone")
     joined = rows.join(by_doc, F.col("_doc").eqNullSafe(F.col("_id")), "left").drop("_doc", "_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = batch.column("_gone")
-            n, removed, kept = [], [], []
-            for row, text, words, i, h, _ in _texts(text_bytes(batch, "_text"), window):
-                first, count = words.first[i], words.count[i]
-                covered = np.zeros(count + 1, np.int64)
-                if gone[row].is_valid:
-                    bad = np.flatnonzero(np.isin(h, gone[row].values.to_numpy(zero_copy_only=False).view(np.uint64)))
-                    np.add.at(covered, bad, 1)
-                    np.add.at(covered, np.minimum(bad + window, count), -1)
-                keep = np.cumsum(covered)[:count] == 0
-                all_words = text.split()
-                left = all_words if keep.all() else [all_words[j] for j in np.flatnonzero(keep)]
-                n.append(count)
-                removed.append(count - len(left))
-                kept.append(b" ".join(left))
-            yield with_columns(
-                batch,
-                ("_text", "_gone"),
-                n_words=pa.array(n, pa.int64()),
-                n_removed=pa.array(removed, pa.int64()),
-                kept=pa.array(kept, pa.binary()).cast(pa.string()),
-            )
-
-    schema = joined.drop("_text", "_gone").schema
+            for base, chunk, words, found in _chunks(text_bytes(batch), window):
+                part = batch.slice(base, len(chunk))
+                gone = part.column("_gone")
+                removed, kept = [], []
+                for i, (text, (h, _)) in enumerate(zip(chunk, found, strict=True)):
+                    count = words.count[i]
+                    covered = np.zeros(count + 1, np.int64)
+                    if gone[i].is_valid:
+                        bad = gone[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                        bad = np.flatnonzero(np.isin(h, bad))
+                        np.add.at(covered, bad, 1)
+                        np.add.at(covered, np.minimum(bad + window, count), -1)
+                    keep = np.cumsum(covered)[:count] == 0
+                    left = text.split()
+                    if not keep.all():
+                        left = [left[j] for j in np.flatnonzero(keep)]
+                    removed.append(count - len(left))
+                    kept.append(b" ".join(left))
+                yield with_columns(
+                    part,
+                    unread,
+                    n_words=pa.array(words.count),
+                    n_removed=pa.array(removed, pa.int64()),
+                    kept=pa.array(kept, pa.binary()).cast(pa.string()),
+                )
+
+    schema = joined.drop(*unread).schema
     return joined.mapInArrow(cut, schema.add("n_words", "long").add("n_removed", "long").add("kept", "string"))
 
 
