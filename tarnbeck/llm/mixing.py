@@ -114,14 +114,14 @@ def mix(
     source without one counts as weight 0, and every source gets at least 1/`period`.
     A null source is a source of its own. There may be at most `period` sources; their
     counts are all that the driver sees. Added columns (an older column of that name
-    goes): mix_block, the block's number in its source; mix_slot; mix_release and
+    or one that starts with `_mix_` goes): mix_block, the block's number in its source; mix_slot; mix_release and
     mix_deadline, the slots from which and before which it is due; mix_position, by
     which to sort. A last block may be short, so positions can have gaps. Order within
     a source is by a hash of doc_id; repeated rows all stay, next to each other. An
     empty table gives an empty one.
     """
     spark = documents.sparkSession
-    documents = documents.drop(*ADDED)
+    documents = documents.drop(*ADDED, *(c for c in documents.columns if c.startswith("_mix_")))
     counts = {r[0]: r[1] for r in documents.groupBy("source").count().collect()}
     target = weights if weights is not None else {s: n**0.5 for s, n in counts.items()}
     blocks = {s: -(-n // block_docs) for s, n in counts.items()}
@@ -130,18 +130,18 @@ def mix(
     # A source of any size is ordered in buckets of its hash, so none is one task's work.
     buckets = max(1, -(-max(counts.values(), default=0) // BUCKET_ROWS))
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit("mix"))
-    rows = documents.withColumns({"_key": key, "_bucket": F.pmod(key, F.lit(buckets))})
-    sizes = rows.groupBy("source", "_bucket").agg(F.count("*").alias("_rows"))
-    before = F.sum("_rows").over(Window.partitionBy("source").orderBy("_bucket")) - F.col("_rows")
-    offsets = sizes.select(F.col("source").alias("_source"), F.col("_bucket").alias("_b"), before.alias("_before"))
-    in_bucket = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", F.xxhash64("text"))
-    same = F.col("source").eqNullSafe(F.col("_source"))
+    rows = documents.withColumns({"_mix_key": key, "_mix_bucket": F.pmod(key, F.lit(buckets))})
+    sizes = rows.groupBy("source", "_mix_bucket").agg(F.count("*").alias("_mix_rows"))
+    before = F.sum("_mix_rows").over(Window.partitionBy("source").orderBy("_mix_bucket")) - F.col("_mix_rows")
+    offsets = sizes.select(F.col("source").alias("_mix_source"), F.col("_mix_bucket").alias("_mix_b"), before.alias("_mix_before"))
+    in_bucket = Window.partitionBy("source", "_mix_bucket").orderBy("_mix_key", "doc_id", F.xxhash64("text"))
+    same = F.col("source").eqNullSafe(F.col("_mix_source"))
     rows = (
-        rows.withColumn("_rank", F.row_number().over(in_bucket))
-        .join(offsets, same & (F.col("_bucket") == F.col("_b")))
-        .withColumn("_sequence", F.col("_before") + F.col("_rank") - 1)
-        .withColumn("mix_block", F.expr(f"_sequence div {block_docs}"))
-        .drop("_source", "_b", "_bucket", "_key", "_before", "_rank")
+        rows.withColumn("_mix_rank", F.row_number().over(in_bucket))
+        .join(offsets, same & (F.col("_mix_bucket") == F.col("_mix_b")))
+        .withColumn("_mix_sequence", F.col("_mix_before") + F.col("_mix_rank") - 1)
+        .withColumn("mix_block", F.expr(f"_mix_sequence div {block_docs}"))
+        .drop("_mix_source", "_mix_b", "_mix_bucket", "_mix_key", "_mix_before", "_mix_rank")
     )
 
     spans, places = [], []
@@ -151,27 +151,27 @@ def mix(
             first = phase.first_block[s]
             last = after.get(s, blocks[s])
             if last > first:
-                spans.append({"_source": s, "_phase": i, "_first": first, "_end": last, "_start": phase.start, "_quota": quota})
+                spans.append({"_mix_source": s, "_mix_phase": i, "_mix_first": first, "_mix_end": last, "_mix_start": phase.start, "_mix_quota": quota})
                 for k, slot in enumerate(phase.slots[s]):
-                    places.append({"_p": i, "_s": s, "_k": k, "_slot": slot})
-    span = _small_table(spark, spans, "_source string, _phase int, _first long, _end long, _start long, _quota long")
-    place = _small_table(spark, places, "_p int, _s string, _k long, _slot long")
-    k = F.col("mix_block") - F.col("_first")
-    due = F.expr(f"((mix_block - _first + 1) * {period} + _quota - 1) div _quota")
+                    places.append({"_mix_p": i, "_mix_s": s, "_mix_k": k, "_mix_slot": slot})
+    span = _small_table(spark, spans, "_mix_source string, _mix_phase int, _mix_first long, _mix_end long, _mix_start long, _mix_quota long")
+    place = _small_table(spark, places, "_mix_p int, _mix_s string, _mix_k long, _mix_slot long")
+    k = F.col("mix_block") - F.col("_mix_first")
+    due = F.expr(f"((mix_block - _mix_first + 1) * {period} + _mix_quota - 1) div _mix_quota")
     return (
-        rows.join(span, same & (F.col("mix_block") >= F.col("_first")) & (F.col("mix_block") < F.col("_end")))
+        rows.join(span, same & (F.col("mix_block") >= F.col("_mix_first")) & (F.col("mix_block") < F.col("_mix_end")))
         .join(
             place,
-            (F.col("_phase") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s")) & (k % F.col("_quota") == F.col("_k")),
+            (F.col("_mix_phase") == F.col("_mix_p")) & F.col("source").eqNullSafe(F.col("_mix_s")) & (k % F.col("_mix_quota") == F.col("_mix_k")),
         )
         .withColumns(
             {
-                "mix_slot": F.col("_start") + F.expr("(mix_block - _first) div _quota") * period + F.col("_slot"),
-                "mix_release": F.col("_start") + F.expr(f"((mix_block - _first) * {period}) div _quota"),
-                "mix_deadline": F.col("_start") + due,
+                "mix_slot": F.col("_mix_start") + F.expr("(mix_block - _mix_first) div _mix_quota") * period + F.col("_mix_slot"),
+                "mix_release": F.col("_mix_start") + F.expr(f"((mix_block - _mix_first) * {period}) div _mix_quota"),
+                "mix_deadline": F.col("_mix_start") + due,
             }
         )
-        .withColumn("mix_position", F.col("mix_slot") * block_docs + F.col("_sequence") % block_docs)
+        .withColumn("mix_position", F.col("mix_slot") * block_docs + F.col("_mix_sequence") % block_docs)
         .select(*documents.columns, *ADDED)
     )
 

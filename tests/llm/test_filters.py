@@ -1,0 +1,262 @@
+"""URL rules and trees, the mixture's schedule, decontamination and the pipeline, against brute force."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tarnbeck.llm.decontaminate import common_subsequence, contaminated, op5_decontaminate
+from tarnbeck.llm.language import op1_language
+from tarnbeck.llm.mixing import mix, one_period, op3_mixing, phases, quotas
+from tarnbeck.llm.simhash import near_duplicates
+from tarnbeck.llm.urls import RULES, boost, filter_urls, op4_urls, with_features
+from tests.llm.test_dedup import brute_windows
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def brute_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = rest
+    for mark in "/?#":
+        host = host.split(mark, 1)[0]
+    path = rest[len(host) :].split("?", 1)[0].split("#", 1)[0]
+    return "".join(c.lower() if c.isascii() else c for c in host), path
+
+
+def brute_rule(host, path):
+    fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.text), default=None)
+
+
+def check_urls(found, urls):
+    assert Counter(r.page_id for r in found) == Counter(i for i, _ in urls)
+    by_id = dict(urls)
+    for r in found:
+        rule = brute_rule(*brute_parts(by_id[r.page_id]))
+        assert (r.host, r.path) == brute_parts(by_id[r.page_id])
+        assert r.rule == (rule and rule.text) and r.verdict in ("allow", "block")
+        assert rule is None or r.verdict == rule.verdict
+
+
+def test_urls_on_the_test_pages(spark):
+    urls = [(r.page_id, r.url) for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    check_urls(op4_urls(spark, SMALL).collect(), urls)
+
+
+def test_urls_edge_cases(spark):
+    urls = [None, "", "no host", "http://", "http://ORG/x", "https://a.example.ORG/es/1?x=http://b.com/de/", "x://com",
+            "http://notorg/", "http://example.org/en/15#f", "http://example.org/en/25", "HTTP://É.com/de/ü\n", "http://a.com?/de/",
+            "http://com/fr/#" + "9" * 100_000, "http://b.net/" + "é-1" * 3000, "://example.org/es/"]
+    rows = list(enumerate(urls)) + [(3, "http://")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    for name in ("host", "path", "rule", "label", "score", "suffix", "length", "_p", "html"):
+        df = df.withColumn(name, F.lit("x"))
+    found = filter_urls(df).collect()
+    check_urls(found, rows)
+    assert filter_urls(df.where("false")).collect() == []
+    only = filter_urls(df.where("url = 'http://ORG/x' OR url = ''")).collect()
+    assert {r.verdict for r in only} == {"allow"}
+
+
+def test_trees_learn_what_the_features_show(spark):
+    """Blocked URLs have many digits or many parameters; the trees find held-out ones."""
+    rng = random.Random(8)
+
+    def url(bad):
+        digits = "".join(rng.choice("0123456789") for _ in range(rng.randint(10, 30) if bad == 1 else rng.randint(0, 4)))
+        query = "?" + "&".join(f"k{i}=v" for i in range(rng.randint(4, 9))) if bad == 2 else rng.choice(["", "?a=b"])
+        return f"http://{rng.choice('abc')}.net/" + "/".join("word" * rng.randint(1, 3) for _ in range(3)) + digits + query
+
+    rows = [(url(bad), int(bad > 0)) for bad in (rng.choice([0, 0, 1, 2]) for _ in range(600))]
+    df = spark.createDataFrame(rows, "url string, label int")
+    df = df.select("url", F.lit("a.net").alias("host"), F.regexp_extract("url", "net(/[^?]*)", 1).alias("path"), "label")
+    described = with_features(df).withColumn("test", F.crc32(F.col("url").cast("binary")) % 3 == 0)
+    trees = boost(described.where("NOT test"))
+    from tarnbeck.llm.urls import _score
+
+    score = sum((_score(t) for t in trees[1:]), _score(trees[0]))
+    right = described.where("test").select(((score >= 0) == (F.col("label") == 1)).cast("int").alias("r"))
+    assert right.agg(F.avg("r")).first()[0] > 0.97
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_schedule_stays_within_one_block(seed):
+    rng = random.Random(seed)
+    n, period = rng.randint(1, 12), rng.choice([12, 60, 1000])
+    quota = quotas({str(i): rng.choice([0, 1, rng.random(), 100 * rng.random()]) + 0.01 for i in range(n)}, period)
+    assert sum(quota.values()) == period and min(quota.values()) >= 1
+    slots = one_period(quota, period)
+    assert sorted(x for s in slots.values() for x in s) == list(range(period))
+    for s, q in quota.items():
+        done = 0
+        for slot in range(period):
+            if done < len(slots[s]) and slots[s][done] == slot:
+                assert done * period // q <= slot < -(-(done + 1) * period // q)
+                done += 1
+            assert abs(done - (slot + 1) * q / period) < 1
+        assert done == q
+
+
+def check_mixture(rows, counts, weights, block_docs, period):
+    """Every slot is one block, in each phase no source is a block off its share, and nothing is lost."""
+    slot_of = defaultdict(set)
+    for r in rows:
+        slot_of[r.source, r.mix_block].add((r.mix_slot, r.mix_release, r.mix_deadline))
+        assert r.mix_release <= r.mix_slot < r.mix_deadline
+    assert all(len(s) == 1 for s in slot_of.values())
+    sizes = Counter((r.source, r.mix_block) for r in rows)
+    for (source, block), n in sizes.items():
+        assert n == min(block_docs, counts[source] - block * block_docs)
+    order = sorted((next(iter(s))[0], source) for (source, _), s in slot_of.items())
+    assert [slot for slot, _ in order] == list(range(len(order)))
+    assert len({r.mix_position for r in rows}) == len(rows)
+    plan = phases({s: math.ceil(n / block_docs) for s, n in counts.items()}, weights, period)
+    for i, phase in enumerate(plan):
+        end = plan[i + 1].start if i + 1 < len(plan) else len(order)
+        done = Counter()
+        for slot in range(phase.start, end):
+            done[order[slot][1]] += 1
+            for s, q in phase.quota.items():
+                assert abs(done[s] - (slot + 1 - phase.start) * q / period) < 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mixture_follows_its_weights(documents, monkeypatch, seed):
+    """With one source of a third of the rows, ordered in small buckets, and a null source."""
+    monkeypatch.setattr("tarnbeck.llm.mixing.BUCKET_ROWS", 50)
+    rng = random.Random(seed)
+    sources = [rng.choice(["a", "a", "a", "b", "c", None, f"s{i % 4}"]) for i in range(700)]
+    rows = [(i, "t", "en", s) for i, s in enumerate(sources)]
+    counts = Counter(sources)
+    weights = {s: rng.choice([1.0, rng.random(), 5.0]) for s in counts}
+    got = mix(documents(rows), weights, block_docs=7, period=50).collect()
+    assert sorted(r.doc_id for r in got) == list(range(700))
+    check_mixture(got, counts, weights, 7, 50)
+
+
+def test_mixture_of_the_test_documents(spark):
+    rows = op3_mixing(spark, SMALL).collect()
+    counts = Counter(r.source for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect())
+    assert len(rows) == sum(counts.values())
+    check_mixture(rows, counts, {s: n**0.5 for s, n in counts.items()}, 16, 1000)
+
+
+def test_mixture_edge_cases(documents, clashing):
+    assert mix(documents([])).collect() == []
+    rows = [(1, None), (1, None), (None, "x" * 100_000), (2, "")]
+    got = mix(clashing(rows), {"other": 1.0}, block_docs=2, period=10)
+    assert Counter(r.doc_id for r in got.collect()) == {1: 2, None: 1, 2: 1}
+    assert got.columns.count("mix_slot") == 1 and "_bucket" not in set(got.columns) - set(clashing(rows).columns)
+    with pytest.raises(ValueError, match="sources can be mixed"):
+        mix(documents([(i, "", "en", str(i)) for i in range(5)]), period=4)
+
+
+def test_common_subsequence():
+    rng = random.Random(1)
+    import numpy as np
+
+    for _ in range(200):
+        a, b = ([rng.randrange(5) for _ in range(rng.randint(0, 30))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert common_subsequence(np.array(a, np.uint64), np.array(b, np.uint64)) == table[-1][-1]
+
+
+def test_decontamination_finds_all_verbatim_items(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()
+    want = {(d.doc_id, i.item_id) for d in docs for i in items if i.text in d.text}
+    got = {(r.doc_id, r.item_id) for r in op5_decontaminate(spark, SMALL).collect()}
+    assert want and want <= got
+    shared = {(d.doc_id, i.item_id) for d in docs for i in items if len(set(i.text.split()) & set(d.text.split())) >= 0.6 * len(set(i.text.split()))}
+    assert got <= shared
+
+
+@pytest.mark.parametrize("block", [100_000, 40])
+def test_decontamination_finds_paraphrases(spark, documents, monkeypatch, block):
+    """A fifth of the words changed anywhere, or more with the answer kept; not half-familiar text."""
+    monkeypatch.setattr("tarnbeck.llm.decontaminate.BLOCK_WORDS", block)
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(3000)]
+
+    def text(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    items = [text(rng.randint(15, 60)) for _ in range(12)]
+    rows, want = [], set()
+    for i in range(150):
+        words = text(rng.randint(0, 300))
+        if i % 3 == 0:
+            k = i // 3 % len(items)
+            copy = list(items[k])
+            if i % 2:
+                for j in rng.sample(range(len(copy)), len(copy) // 6):
+                    copy[j] = rng.choice(vocabulary)
+            else:
+                for j in rng.sample(range(len(copy) - 8), (len(copy) - 8) // 3):
+                    copy[j] = rng.choice(vocabulary)
+            at = rng.randint(0, len(words))
+            words[at:at] = copy
+            want.add((i, k))
+        elif i % 3 == 1:
+            words += items[i % len(items)][: len(items[i % len(items)]) // 4]
+        rows.append((i, " ".join(words).capitalize() + "."))
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id int, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(documents(rows), benchmark).collect()}
+    assert got == want
+
+
+def test_decontamination_edge_cases(spark, documents, clashing):
+    empty = spark.createDataFrame([], "item_id int, text string")
+    rows = [(1, None), (2, ""), (3, "the answer is forty two"), (3, "the answer is forty two"), (None, "the answer is forty two"), (4, "z " * 100_000)]
+    assert contaminated(clashing(rows), empty).collect() == []
+    items = spark.createDataFrame([(1, None), (2, ""), (3, "..."), (4, "The answer is forty-two"), (4, "The answer is forty-two")], "item_id int, text string")
+    got = contaminated(clashing(rows), items.withColumn("doc_id", F.lit(0))).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(3, 4), (None, 4)}
+    assert contaminated(documents([]), items).collect() == []
+
+
+def test_pipeline_stages_are_the_brute_force(spark, tmp_path):
+    """Each stage's rows follow from the rows it was given."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns = docs.columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = str(tmp_path / name)
+        stage(spark, docs, SMALL).write.parquet(out)
+        before, docs = docs, spark.read.parquet(out)
+        kept[name] = before.collect(), docs.collect()
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+
+    before, after = kept["language"]
+    found = {r.doc_id: r.lang_pred for r in op1_language(spark, SMALL).collect()}
+    assert {r.doc_id: r.lang for r in after} == {i: lang for i, lang in found.items() if lang != "und"}
+
+    before, after = kept["near_copies"]
+    groups = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(before, docs.select(columns).schema)).collect()}
+    assert sorted(r.doc_id for r in after) == sorted({groups[r.doc_id] for r in before})
+
+    before, after = kept["repeated_passages"]
+    texts = {r.doc_id: r.text for r in before}
+    want = {i: left if gone else texts[i] for i, _, gone, left in brute_windows(list(texts.items()), 50)}
+    assert {r.doc_id: r.text for r in after} == {i: t for i, t in want.items() if t or not texts[i]}
+    assert all(r.n_chars == len(r.text) for r in after)
+
+    before, after = kept["benchmark_leaks"]
+    items = [r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    leaks = {r.doc_id for r in before if any(" ".join(t.split()) in " ".join(r.text.split()) for t in items)}
+    assert leaks and {r.doc_id for r in before} - {r.doc_id for r in after} == leaks
+
+    before, after = kept["mixture"]
+    assert sorted(r.doc_id for r in after) == sorted(r.doc_id for r in before)
+    counts = Counter(r.source for r in before)
+    check_mixture(after, counts, {s: n**0.5 for s, n in counts.items()}, 16, 1000)
