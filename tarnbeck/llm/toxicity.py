@@ -87,7 +87,7 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     only one label all numbers are zero and the bias says that label.
     """
     share = float(np.mean(labels)) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return np.zeros(1 << BITS, np.int32), (5.0 if share == 1 else -5.0 if share == 0 else 0.0)
     gram, owner, n_words, doc, word, times, length = _bag(texts)
     grams_of = np.maximum(np.bincount(owner, minlength=n_words), 1).astype(np.float32)[:, None]
@@ -119,7 +119,7 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
         error = (p - target) * balance
         to_word = by_word((error @ softmax.T)[doc] * weight) / grams_of
         grads = [
-            by_column(to_word[owner]) + np.float32(DECAY / len(used)) * vectors,
+            by_column(to_word[owner]) + np.float32(DECAY / max(len(used), 1)) * vectors,
             bags.T @ error + np.float32(1e-4) * softmax,
             error.sum(axis=0),
         ]
