@@ -28,8 +28,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that link the one with the smallest id stays. Those without an id stay or go together."""
     found = near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first"))
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first_of_copies"))
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first_of_copies")), "left_semi")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leaking_id")).distinct()
+    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leaking_id")), "left_anti")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnbeck.llm.labelled import sample_per_label
 from tarnbeck.llm.text import BYTE_BASE, Spans, Words, chunked, in_fold, text_bytes, with_columns
@@ -74,7 +75,7 @@ def marginals(emissions: np.ndarray, first: np.ndarray, count: np.ndarray, trans
     n_pieces = -(-count // PIECE)
     total = int(n_pieces.sum())
     result = np.zeros_like(emissions)
-    if not total:
+    if not total or not k:
         return result
     level = np.arange(total) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
     begin = np.repeat(first, n_pieces) + level * PIECE
@@ -228,19 +229,18 @@ def train(texts: list[bytes], languages: list[str]) -> Field:
                  np.rint(params[1] * UNIT).astype(np.int64), np.exp(params[2]))
 
 
-def label_texts(texts: list[bytes | None], field: Field) -> Iterator[tuple[str, float, np.ndarray]]:
+def label_chunk(texts: list[bytes], field: Field) -> Iterator[tuple[str, float, np.ndarray]]:
     """For each text its language, the mean probability of it, and the label number of each word."""
-    for _, chunk in chunked(texts):
-        w = Words(chunk, folded=True)
-        gamma = marginals(field.emissions(w), w.first, w.count, field.transitions)
-        label = gamma.argmax(axis=0)
-        for text, a, c in zip(chunk, w.first, w.count, strict=True):
-            if not field.languages or not LETTER.search(text.decode("utf-8", "replace")):
-                yield UNKNOWN, 0.0, label[:0]
-                continue
-            share = gamma[:, a : a + c].mean(axis=1)
-            best = int(share.argmax())
-            yield field.languages[best], min(round(float(share[best]), 12), 1.0), label[a : a + c]
+    w = Words(texts, folded=True)
+    gamma = marginals(field.emissions(w), w.first, w.count, field.transitions)
+    label = gamma.argmax(axis=0) if field.languages else np.zeros(0, np.int64)
+    for text, a, c in zip(texts, w.first, w.count, strict=True):
+        if not field.languages or not LETTER.search(text.decode("utf-8", "replace")):
+            yield UNKNOWN, 0.0, label[:0]
+            continue
+        share = gamma[:, a : a + c].mean(axis=1)
+        best = int(share.argmax())
+        yield field.languages[best], min(round(float(share[best]), 12), 1.0), label[a : a + c]
 
 
 def identify_language(
@@ -262,7 +262,8 @@ def identify_language(
     field = train([r.text.encode() for r in sample], [r.lang for r in sample])
     model = documents.sparkSession.sparkContext.broadcast(field)
     carry = tuple(c for c in carry if c not in ("lang_pred", "score", "runs"))
-    docs = documents.select(F.col("text").alias("_text"), *carry)
+    docs = documents.select("text", *(c for c in carry if c != "text"))
+    unread = () if "text" in carry else ("text",)
     run_type = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def found(label: np.ndarray) -> list[dict]:
@@ -274,18 +275,20 @@ def identify_language(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores, all_runs = [], [], []
-            for name, score, label in label_texts(text_bytes(batch, "_text"), model.value):
-                names.append(name)
-                scores.append(score)
+            for base, chunk in chunked(text_bytes(batch)):
+                judged = list(label_chunk(chunk, model.value))
+                new = {
+                    "lang_pred": pa.array([name for name, _, _ in judged], pa.string()),
+                    "score": pa.array([score for _, score, _ in judged], pa.float64()),
+                }
                 if runs:
-                    all_runs.append(found(label))
-            new = {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
-            yield with_columns(batch, ("_text",), **new, **({"runs": pa.array(all_runs, run_type)} if runs else {}))
+                    new["runs"] = pa.array([found(label) for _, _, label in judged], run_type)
+                yield with_columns(batch.slice(base, len(chunk)), unread, **new)
 
-    schema = docs.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.drop(*unread).schema.add("lang_pred", "string").add("score", "double")
     if runs:
-        schema = schema.add("runs", "array<struct<first:bigint,end:bigint,lang:string>>")
+        run = T.StructType().add("first", "long").add("end", "long").add("lang", "string")
+        schema = schema.add("runs", T.ArrayType(run))
     return docs.mapInArrow(judge, schema)
 
 
