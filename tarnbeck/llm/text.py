@@ -104,6 +104,26 @@ PLAIN = {folded: _plain(folded) for folded in (False, True)}
 LETTERS = _letters()
 
 
+def smallest_places(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For each run of `width` hashes where its smallest one is, the leftmost on ties.
+
+    Equal runs have it at the same place in them.
+    """
+    n = len(hashes) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    bits = _U64(max(len(hashes).bit_length(), 24))
+    # The place in the low bits decides between hashes that agree in the high ones.
+    key = hashes >> bits << bits | np.arange(len(hashes), dtype=_U64)
+    padded = np.full(-(-len(key) // width) * width, np.iinfo(np.uint64).max, _U64)
+    padded[: len(key)] = key
+    blocks = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    smallest = np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
+    return (smallest & ((_U64(1) << bits) - _U64(1))).astype(np.int64)
+
+
 class Words:
     """The words of some texts. Separators are blanks in `data`; a blank stands before and after each text."""
 

@@ -1,8 +1,11 @@
 """Substring dedup by word windows, with a count-min prefilter.
 
-A first pass counts the windows of all texts in partition sketches, which are merged. A
-second pass sends only windows estimated repeated, each once per text, to be grouped
-exactly; a window that a text with a smaller id also has is removed from the larger.
+A first pass counts in partition sketches, which are merged. What it counts are anchors: a
+window's anchor is the run of GRAM words in it with the smallest hash, so equal windows
+have equal anchors, and an anchor's count is never less than that of its windows. There
+are about 20 times fewer anchors than windows. A second pass sends only windows estimated
+repeated, each once per text, to be grouped exactly; a window that a text with a smaller
+id also has is removed from the larger.
 """
 
 from __future__ import annotations
@@ -17,11 +20,13 @@ from pyspark.sql import functions as F
 
 from tarnbeck.llm.sketch import estimated_repeated, repeated_cells
 from tarnbeck.llm.store import stored
-from tarnbeck.llm.text import OTHER_BASE, WORD_BASE, Spans, Words, chunked, text_bytes, with_columns
+from tarnbeck.llm.text import OTHER_BASE, WORD_BASE, Spans, Words, chunked, smallest_places, text_bytes, with_columns
 from tarnbeck.sources.tables import table
 
 WINDOW = 50
-SKETCH_BITS = 28
+#: Words of an anchor, half a window at most.
+GRAM = 8
+SKETCH_BITS = 27
 #: A window that so many texts of a hundredth of all have is grouped in parts.
 HOT_TEXTS = 500
 PARTS = 64
@@ -35,6 +40,17 @@ def window_hashes(words: Words, i: int, hashes: np.ndarray, window: int) -> tupl
     return Spans(own, WORD_BASE).all(window), Spans(own, OTHER_BASE).all(window) >> np.uint64(32)
 
 
+def window_anchors(words: Words, i: int, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of text i its anchor's hash and place."""
+    gram = max(1, min(GRAM, window // 2))
+    own = hashes[words.first[i] : words.first[i] + words.count[i]]
+    if len(own) < window:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    grams = Spans(own, WORD_BASE).all(gram)
+    place = smallest_places(grams, window - gram + 1)
+    return grams[place], place
+
+
 def _chunks(texts: pa.Array, window: int) -> Iterator[tuple[int, list[bytes], Words, list[tuple[np.ndarray, np.ndarray]]]]:
     for base, chunk in chunked(texts):
         words = Words(chunk)
@@ -47,14 +63,18 @@ def _candidates(docs: DataFrame, sketch: Broadcast, bits: int, window: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for base, _, _, found in _chunks(text_bytes(batch), window):
+            for base, chunk in chunked(text_bytes(batch)):
+                words = Words(chunk)
+                hashes = words.hashes()
                 rows, hs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-                for row, (h, g) in enumerate(found, base):
-                    h, first = np.unique(h, return_index=True)
-                    keep = estimated_repeated(h, sketch.value, bits)
-                    hs.append(h[keep])
-                    gs.append(g[first[keep]])
-                    rows.append(np.full(len(hs[-1]), row))
+                for i in range(len(chunk)):
+                    keep = estimated_repeated(window_anchors(words, i, hashes, window)[0], sketch.value, bits)
+                    if keep.any():
+                        h, g = window_hashes(words, i, hashes, window)
+                        h, first = np.unique(h[keep], return_index=True)
+                        hs.append(h)
+                        gs.append(g[keep][first])
+                        rows.append(np.full(len(h), base + i))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(np.concatenate(rows))),
                      pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(gs).astype(np.int64))],
@@ -104,12 +124,16 @@ def repeated_windows(
     docs = documents.select("doc_id", "text")
     carry = tuple(c for c in carry if c not in ("n_words", "n_removed", "kept", "_doc", "_id", "_gone"))
 
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for *_, found in _chunks(text_bytes(batch), window):
-            for h, _ in found:
-                yield h
+    def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, chunk in chunked(text_bytes(batch)):
+            words = Words(chunk)
+            hashes = words.hashes()
+            for i in range(len(chunk)):
+                anchor, place = window_anchors(words, i, hashes, window)
+                # Windows next to each other that share their anchor count it once.
+                yield anchor[np.diff(place, prepend=-1) != 0]
 
-    sketch = repeated_cells(docs.select("text"), hashes, bits)
+    sketch = repeated_cells(docs.select("text"), anchors, bits)
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(100)) == 0)
     hot = _candidates(some, sketch, bits, window).groupBy("h", "g").count().where(F.col("count") >= hot_texts)
     hot = stored(hot.select("h", "g"))
