@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnbeck.llm.sketch import estimated_repeated, repeated_cells
-from tarnbeck.llm.text import BYTE_BASE, Spans, chunked, text_bytes
+from tarnbeck.llm.text import BYTE_BASE, Spans, chunked, smallest_places, text_bytes
 from tarnbeck.sources.tables import table
 
 LENGTH = 200
@@ -33,6 +34,8 @@ SAMPLE_TOKENS = 20_000
 BUCKETS_PER_PARTITION = 4
 #: Bytes of stretches that are sorted at a time; all of one anchor are sorted together.
 SORT_BYTES = 1 << 21
+#: Numbers that rows which need no sorting are dealt out by.
+SPREAD = 1009
 
 
 class Stretches:
@@ -44,18 +47,8 @@ class Stretches:
         doc_start = np.cumsum(sizes + 1) - sizes - 1
         spans = Spans(self.data, BYTE_BASE)
         grams = spans.all(gram)
-        width = length - gram + 1
-        bits = np.uint64(max(len(grams).bit_length(), 24))
-        # The smallest hash wins, the leftmost place on ties.
-        key = grams >> bits << bits | np.arange(len(grams), dtype=np.uint64)
-        padded = np.full(-(-len(key) // width) * width, np.iinfo(np.uint64).max, np.uint64)
-        padded[: len(key)] = key
-        blocks = padded.reshape(-1, width)
-        ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-        back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        n = max(len(key) - width + 1, 0)
-        smallest = np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
-        anchor = (smallest & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        anchor = smallest_places(grams, length - gram + 1)
+        n = len(anchor)
         inside = np.zeros(n + 1, np.int64)
         long = sizes >= length
         np.add.at(inside, doc_start[long], 1)
@@ -109,15 +102,20 @@ def tied(data: np.ndarray, start: np.ndarray, group: np.ndarray, length: int) ->
     return found
 
 
-def repeated_runs(anchor: np.ndarray, content: np.ndarray, count: np.ndarray, text: pa.Array, length: int) -> tuple:
-    """Rows and first and last places in them of runs of repeated strings; rows are sorted by anchor and content."""
+def repeated_runs(
+    anchor: np.ndarray, content: np.ndarray, count: np.ndarray, known: np.ndarray, text: pa.Array, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and first and last places in them of runs of repeated strings; rows are sorted by anchor and content.
+
+    `known` rows are those that have copies elsewhere, which are not among the rows.
+    """
     n = len(anchor)
     new_anchor = np.ones(n, bool)
     new_anchor[1:] = anchor[1:] != anchor[:-1]
     new = new_anchor.copy()
     new[1:] |= content[1:] != content[:-1]
     kind = np.cumsum(new) - 1
-    copies = np.bincount(kind)
+    copies = np.bincount(kind, 1 + known).astype(np.int64)
     group = (np.cumsum(new_anchor) - 1)[new]
     all_repeated = copies[kind] > 1
     rows, lows, highs = [np.flatnonzero(all_repeated)], [np.zeros(all_repeated.sum(), np.int64)], [count[all_repeated] - 1]
@@ -182,7 +180,7 @@ def repeated_strings(
                 token = s.tokens()[keep].view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(token)], names=["token"])
 
-    some = docs.select("text", "text_hash").where(F.pmod("text_hash", F.lit(50)) == 0).select("text")
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(50)) == 0).select("text")
     tokens = some.mapInArrow(sample, "token long").orderBy(F.xxhash64("token")).limit(SAMPLE_TOKENS).collect()
     values = np.sort(np.array([t[0] for t in tokens], np.int64).view(np.uint64))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -195,8 +193,13 @@ def repeated_strings(
             for base, s in stretches(batch):
                 keep = np.flatnonzero(estimated_repeated(s.anchor, sketch.value, bits))
                 content = s.content()[keep]
-                # The text of a stretch is sent once from here, however many copies of it are.
-                _, first = np.unique(content, return_index=True)
+                # Copies of a stretch seen here are repeated for certain. One of them goes to
+                # its bucket for all; the others need no sorting and are dealt out evenly.
+                _, first, kind, copies = np.unique(content, return_index=True, return_inverse=True, return_counts=True)
+                bucket = np.searchsorted(splitters, s.tokens()[keep], side="right").astype(np.int32)
+                spare = np.ones(len(keep), bool)
+                spare[first] = False
+                bucket[spare] = -1 - np.arange(spare.sum()) % SPREAD
                 text: list[bytes | None] = [None] * len(keep)
                 raw = s.data.tobytes()
                 for i in first.tolist():
@@ -204,21 +207,23 @@ def repeated_strings(
                 at = pa.array(base + s.doc[keep])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.searchsorted(splitters, s.tokens()[keep], side="right").astype(np.int32)),
+                        pa.array(bucket),
                         pa.array(s.anchor[keep].view(np.int64)),
                         pa.array(content.view(np.int64)),
                         batch.column("doc_id").take(at),
                         batch.column("text_hash").take(at),
                         pa.array(s.offset[keep]),
                         pa.array(s.last[keep] - s.first[keep] + 1),
+                        pa.array(copies[kind] > 1),
                         pa.array(text, pa.binary()),
                     ],
-                    names=["bucket", "anchor", "content", "doc_id", "text_hash", "offset", "n_starts", "stretch"],
+                    names=["bucket", "anchor", "content", "doc_id", "text_hash", "offset", "n_starts", "known", "stretch"],
                 )
 
     sent = docs.mapInArrow(
         send,
-        f"bucket int, anchor long, content long, doc_id {id_type}, text_hash long, offset long, n_starts long, stretch binary",
+        f"bucket int, anchor long, content long, doc_id {id_type}, text_hash long, offset long, n_starts long, "
+        "known boolean, stretch binary",
     )
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,6 +232,11 @@ def repeated_strings(
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 piece = batch.slice(at, 1024)
+                spare = pc.less(piece.column("bucket"), 0)
+                yield from placed(pa.Table.from_batches([piece.filter(spare)]))
+                piece = piece.filter(pc.invert(spare))
+                if not piece.num_rows:
+                    continue
                 kept.append(piece)
                 size += piece.nbytes
                 if size >= SORT_BYTES:
@@ -246,9 +256,16 @@ def repeated_strings(
             rows.column("anchor").to_numpy(),
             rows.column("content").to_numpy(),
             rows.column("n_starts").to_numpy(),
+            rows.column("known").to_numpy(),
             rows.column("stretch").combine_chunks(),
             length,
         )
+        yield from placed(rows, row, low, high)
+
+    def placed(rows: pa.Table, row=None, low=0, high=None) -> Iterator[pa.RecordBatch]:
+        """Runs of these rows as bytes of their texts; by default of each row all of it."""
+        if row is None:
+            row, high = np.arange(rows.num_rows), rows.column("n_starts").to_numpy() - 1
         offset = rows.column("offset").to_numpy()[row]
         at = pa.array(row)
         out = pa.table(
