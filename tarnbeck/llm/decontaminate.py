@@ -68,15 +68,12 @@ def document_frequencies(documents: DataFrame) -> tuple[np.ndarray, int]:
         .mapInArrow(count, "bucket long, n long")
         .groupBy("bucket")
         .agg(F.sum("n").alias("n"))
-        .collect()
+        .toArrow()
     )
-    found, total = np.zeros(1 << BITS, np.int64), 0
-    for bucket, n in rows:
-        if bucket < 0:
-            total = n
-        else:
-            found[bucket] = n
-    return found, total
+    # The number of texts comes as bucket -1, the last place of the array.
+    found = np.zeros((1 << BITS) + 1, np.int64)
+    found[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    return found[:-1], int(found[-1])
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
