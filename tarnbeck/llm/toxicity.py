@@ -32,7 +32,7 @@ TELLING = 15.0
 SCALE = 30
 #: Neutral words added to each mean, so that one odd word does not decide a text of a few words.
 PAD = 8
-SAMPLE_PER_LABEL = 1200
+SAMPLE_PER_LABEL = 1000
 #: Tables hold whole numbers of this unit.
 UNIT = 1 << 20
 
@@ -53,8 +53,8 @@ def _bag(texts: list[bytes]):
             ids[i] = known.setdefault(h, len(known))
         for word, bucket in w.ngram_buckets(SIZES, BITS):
             pick = new[code[word]] & (first[code[word]] == word)
-            grams.append(bucket[pick].astype(np.int64))
-            owners.append(ids[code[word[pick]]])
+            grams.append(bucket[pick].astype(np.int32))
+            owners.append(ids[code[word[pick]]].astype(np.int32))
         docs.append(w.doc + base)
         words.append(ids[code])
         n.append(w.count)
