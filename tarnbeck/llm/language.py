@@ -31,7 +31,7 @@ SIZES = (2, 3, 4)
 BITS = 16
 UNIT = 1 << 20
 #: Texts of each language that the field is fitted on.
-SAMPLE_PER_LANGUAGE = 100
+SAMPLE_PER_LANGUAGE = 60
 LEXICON_TEXTS = 3
 ROW_WORDS = 100
 STEPS = 40
