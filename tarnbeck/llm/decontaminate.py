@@ -8,7 +8,9 @@ common subsequence of the item's words and the words around the window is most o
 item, or if it is a good part of it and the item's last words, its answer, are there too.
 
 Items are a query set. They are searched for in blocks of bounded size, so what a task
-holds does not grow with the benchmark.
+holds does not grow with the benchmark. A block has a space for every RANK passages: no
+space has more passages than dimensions, so each holds its passages whole and a copy's
+cosine does not depend on how many items there are.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ COSINE = 0.35
 SIMILAR = 0.8
 PARAPHRASED = 0.5
 ANSWER_WORDS = 8
-BLOCK_WORDS = 100_000
+BLOCK_WORDS, BLOCK_PASSAGES = 100_000, 16 * RANK
 SENTENCE = re.compile(rb"[.!?\n]\s*(?=\S)")
 
 
@@ -107,10 +109,9 @@ def passages_of(item: Item) -> list[np.ndarray]:
 
 @dataclass
 class Space:
-    """Latent space of a block of items: vocabulary, its vectors, and the passages in it."""
+    """Latent space of some passages of a block: vocabulary, its vectors, and the passages in it."""
 
-    items: list[Item]
-    owner: np.ndarray  # item of each passage
+    owner: np.ndarray  # item of each passage, by its place in the block
     vocabulary: np.ndarray  # hashes
     place: np.ndarray  # of a bucket, in the vocabulary, or -1
     vectors: np.ndarray  # vocabulary x rank
@@ -118,9 +119,15 @@ class Space:
     idf: np.ndarray
 
 
-def latent_space(spark: SparkSession, items: list[Item], idf: np.ndarray) -> Space | None:
-    """The rank-RANK space of the items' TF-IDF passages, by a distributed randomised SVD."""
+def latent_spaces(spark: SparkSession, items: list[Item], idf: np.ndarray) -> list[Space]:
+    """Spaces of at most RANK passages each, which together have all passages of the items."""
     pieces = [(i, p) for i, item in enumerate(items) for p in passages_of(item) if len(p)]
+    found = [latent_space(spark, pieces[a : a + RANK], idf) for a in range(0, len(pieces), RANK)]
+    return [space for space in found if space is not None]
+
+
+def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray) -> Space | None:
+    """The rank-RANK space of TF-IDF passages, given with their items, by a distributed randomised SVD."""
     distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p for _, p in pieces)]))
     distinct = distinct[idf[_bucket(distinct)] > 0]
     # One word for each bucket: which of two that share one is kept does not depend on order.
@@ -176,9 +183,7 @@ def latent_space(spark: SparkSession, items: list[Item], idf: np.ndarray) -> Spa
     keep = np.argsort(-square)[: min(RANK, int((square > 1e-9).sum()))]
     vectors = basis @ turn[:, keep]
     passages = np.stack([v @ vectors[c] for c, v in rows], axis=1)
-    return Space(
-        items, np.array(owner), vocabulary, place, vectors.astype(np.float32), passages.astype(np.float32), idf
-    )
+    return Space(np.array(owner), vocabulary, place, vectors.astype(np.float32), passages.astype(np.float32), idf)
 
 
 def common_subsequence(needle: np.ndarray, words: np.ndarray) -> int:
@@ -195,10 +200,11 @@ def common_subsequence(needle: np.ndarray, words: np.ndarray) -> int:
     return len(needle) - row.bit_count()
 
 
-def found_in(texts: list[bytes], space: Space) -> Iterator[tuple[int, int, float, float, float]]:
-    """Text, item, cosine, share of the item's words and of its answer's, for each item found in a text."""
-    w = Words(texts, table=LETTERS)
-    hashes = w.hashes()
+Best = dict[tuple[int, int, int], tuple[float, int, int]]
+
+
+def add_candidates(best: Best, w: Words, hashes: np.ndarray, space: Space) -> None:
+    """The windows that come close to a passage of the space: (text, item, group) and (cosine, start, end)."""
     bucket = _bucket(hashes)
     idf = space.idf[bucket]
     at = space.place[bucket]
@@ -209,10 +215,9 @@ def found_in(texts: list[bytes], space: Space) -> Iterator[tuple[int, int, float
     own = np.zeros(len(square))
     own[known] = square[known]
     own_weight = np.concatenate([[0.0], np.cumsum(own)])
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
     for width, step in SCALES:
         n = np.where(w.count > 0, -(-np.maximum(w.count - width, 0) // step) + 1, 0)
-        doc = np.repeat(np.arange(len(texts)), n)
+        doc = np.repeat(np.arange(w.n_docs), n)
         start = w.first[doc] + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * step
         end = np.minimum(start + width, w.first[doc] + w.count[doc])
         weight = all_weight[end] - all_weight[start]
@@ -231,9 +236,18 @@ def found_in(texts: list[bytes], space: Space) -> Iterator[tuple[int, int, float
                 key, value = (int(doc[k]), int(space.owner[j])), (float(cosine[i, j]), int(start[k]), int(end[k]))
                 if value > best.get((*key, k // 8), (0.0, 0, 0)):
                     best[*key, k // 8] = value
+
+
+def found_in(texts: list[bytes], items: list[Item], spaces: list[Space]) -> Iterator[tuple[int, int, float, float, float]]:
+    """Text, item, cosine, share of the item's words and of its answer's, for each item found in a text."""
+    w = Words(texts, table=LETTERS)
+    hashes = w.hashes()
+    best: Best = {}
+    for space in spaces:
+        add_candidates(best, w, hashes, space)
     result: dict[tuple[int, int], tuple[float, float, float]] = {}
     for (doc_i, item_i, _), (cosine_i, start_i, end_i) in best.items():
-        item = space.items[item_i]
+        item = items[item_i]
         reach = len(item.words)
         first, count = w.first[doc_i], w.count[doc_i]
         around = hashes[max(first, start_i - reach) : min(first + count, end_i + reach)]
@@ -263,18 +277,18 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     idf = weights(frequencies, total)
 
     def search(items: list[Item]) -> DataFrame | None:
-        space = latent_space(spark, items, idf)
-        if space is None:
+        spaces = latent_spaces(spark, items, idf)
+        if not spaces:
             return None
-        known = spark.sparkContext.broadcast(space)
+        known = spark.sparkContext.broadcast((items, spaces))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for base, chunk in chunked(text_bytes(batch)):
-                    found = list(found_in(chunk, known.value))
+                    found = list(found_in(chunk, *known.value))
                     if found:
                         doc, item, cosine, share, answer = zip(*found, strict=True)
-                        ids = [known.value.items[i].item_id for i in item]
+                        ids = [known.value[0][i].item_id for i in item]
                         yield pa.RecordBatch.from_arrays(
                             [batch.column("doc_id").take(pa.array([base + d for d in doc])),
                              pa.array(ids, to_arrow), pa.array(cosine), pa.array(share), pa.array(answer)],
@@ -285,15 +299,16 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     out: list[DataFrame | None] = []
     block: list[Item] = []
-    size = 0
+    size = passages = 0
     rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         item = item_of(row.item_id, row.text.encode())
-        if block and size + len(item.words) > BLOCK_WORDS:
+        n = len(passages_of(item))
+        if block and (size + len(item.words) > BLOCK_WORDS or passages + n > BLOCK_PASSAGES):
             out.append(search(block))
-            block, size = [], 0
+            block, size, passages = [], 0, 0
         block.append(item)
-        size += len(item.words)
+        size, passages = size + len(item.words), passages + n
     if block:
         out.append(search(block))
     found = [rows for rows in out if rows is not None]

@@ -214,6 +214,23 @@ def test_decontamination_finds_paraphrases(spark, documents, monkeypatch, block)
     assert got == want
 
 
+def test_decontamination_finds_verbatim_items_of_a_large_benchmark(spark, documents):
+    """Some 2,000 items, far more passages than a space has dimensions."""
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(3000)]
+    items = [" ".join(rng.choice(vocabulary) for _ in range(38)) for _ in range(2000)]
+    rows, want = [], set()
+    for i in range(300):
+        words = [rng.choice(vocabulary) for _ in range(200)]
+        if i % 3:
+            k = rng.randrange(len(items))
+            words.insert(rng.randint(0, 200), items[k])
+            want.add((i, k))
+        rows.append((i, " ".join(words)))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(documents(rows), benchmark).collect()} == want
+
+
 def test_decontamination_edge_cases(spark, documents, clashing):
     empty = spark.createDataFrame([], "item_id int, text string")
     rows = [(1, None), (2, ""), (3, "the answer is forty two"), (3, "the answer is forty two"), (None, "the answer is forty two"), (4, "z " * 100_000)]
