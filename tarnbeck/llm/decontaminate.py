@@ -3,7 +3,10 @@
 Benchmark items are cut into passages and weighted by TF-IDF, with document frequencies
 over all documents. A randomised SVD, whose products Spark sums over the passages, gives
 their latent space. Every document is searched in overlapping windows: those that come
-close to a passage by the cosine there are candidates. A candidate counts if the longest
+close to a passage by the cosine there are candidates. Words of many documents have
+no weight there; a passage mostly made of them, as that of an item copied into many
+documents is, is searched for a second time with all its words, by the share of it that a
+window holds, whatever else is in the window. A candidate counts if the longest
 common subsequence of the item's words and the words around the window is most of the
 item, or if it is a good part of it and the item's last words, its answer, are there too.
 
@@ -34,7 +37,7 @@ RANK, OVERSAMPLE, POWER_STEPS = 256, 16, 2
 #: Windows of documents: words, and words from one to the next.
 SCALES = ((16, 8), (48, 16))
 PASSAGE_WORDS = 64
-#: Words of more than this share of the documents have no weight.
+#: Words of more than this share of the documents have no weight in the cosine.
 COMMON = 0.1
 COSINE = 0.35
 SIMILAR = 0.8
@@ -82,10 +85,10 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64((1 << BITS) - 1)).view(np.int64)
 
 
-def weights(frequencies: np.ndarray, total: int) -> np.ndarray:
-    """The IDF of each bucket; 0 for common words, as long as there are documents enough to tell."""
+def weights(frequencies: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The IDF of each bucket, above 0, and whether its words are common, as long as there are documents enough to tell."""
     idf = np.log((total + 1) / (frequencies + 1)) + 0.1
-    return np.where((frequencies > COMMON * total) & (frequencies > 20), 0.0, idf)
+    return idf, (frequencies > COMMON * total) & (frequencies > 20)
 
 
 @dataclass
@@ -116,17 +119,25 @@ class Space:
     place: np.ndarray  # of a bucket, in the vocabulary, or -1
     vectors: np.ndarray  # vocabulary x rank
     passages: np.ndarray  # rank x passages, by unit length of the whole passage
+    length: np.ndarray  # of the whole passages
     idf: np.ndarray
+    by_share: bool  # candidates hold a share of a passage, instead of being close to it
 
 
-def latent_spaces(spark: SparkSession, items: list[Item], idf: np.ndarray) -> list[Space]:
+def latent_spaces(spark: SparkSession, items: list[Item], idf: np.ndarray, common: np.ndarray) -> list[Space]:
     """Spaces of at most RANK passages each, which together have all passages of the items."""
     pieces = [(i, p) for i, item in enumerate(items) for p in passages_of(item) if len(p)]
-    found = [latent_space(spark, pieces[a : a + RANK], idf) for a in range(0, len(pieces), RANK)]
+    # With half of the words common the others may be too few to find a copy or a paraphrase by.
+    mostly = [(i, p) for i, p in pieces if 2 * common[_bucket(p)].sum() >= len(p)]
+    found = [
+        latent_space(spark, part[a : a + RANK], weight, by_share)
+        for part, weight, by_share in ((pieces, np.where(common, 0.0, idf), False), (mostly, idf, True))
+        for a in range(0, len(part), RANK)
+    ]
     return [space for space in found if space is not None]
 
 
-def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray) -> Space | None:
+def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray, by_share: bool) -> Space | None:
     """The rank-RANK space of TF-IDF passages, given with their items, by a distributed randomised SVD."""
     distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p for _, p in pieces)]))
     distinct = distinct[idf[_bucket(distinct)] > 0]
@@ -137,14 +148,15 @@ def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf:
         return None
     place = np.full(1 << BITS, -1)
     place[bucket] = np.arange(len(vocabulary))
-    rows, owner = [], []
+    rows, owner, length = [], [], []
     for i, words in pieces:
         at = place[_bucket(words)]
         at = at[(at >= 0) & (vocabulary[at] == words)]
         if len(at):
             column, times = np.unique(at, return_counts=True)
             value = times * idf[bucket[column]]
-            rows.append((column, value / np.sqrt(value @ value)))
+            length.append(np.sqrt(value @ value))
+            rows.append((column, value / length[-1]))
             owner.append(i)
     if not rows:
         return None
@@ -183,7 +195,10 @@ def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf:
     keep = np.argsort(-square)[: min(RANK, int((square > 1e-9).sum()))]
     vectors = basis @ turn[:, keep]
     passages = np.stack([v @ vectors[c] for c, v in rows], axis=1)
-    return Space(np.array(owner), vocabulary, place, vectors.astype(np.float32), passages.astype(np.float32), idf)
+    return Space(
+        np.array(owner), vocabulary, place, vectors.astype(np.float32), passages.astype(np.float32),
+        np.array(length), idf, by_share,
+    )
 
 
 def common_subsequence(needle: np.ndarray, words: np.ndarray) -> int:
@@ -222,7 +237,8 @@ def add_candidates(best: Best, w: Words, hashes: np.ndarray, space: Space) -> No
         end = np.minimum(start + width, w.first[doc] + w.count[doc])
         weight = all_weight[end] - all_weight[start]
         # The cosine is at most the share of the window's length that the vocabulary has.
-        can = np.flatnonzero(own_weight[end] - own_weight[start] >= np.maximum(COSINE**2 * weight, 1e-9))
+        least = 0.0 if space.by_share else COSINE**2 * weight
+        can = np.flatnonzero(own_weight[end] - own_weight[start] >= np.maximum(least, 1e-9))
         for part in np.array_split(can, max(1, -(-len(can) // 2000))):
             low, high = np.searchsorted(known, start[part]), np.searchsorted(known, end[part])
             if not len(part):
@@ -230,8 +246,9 @@ def add_candidates(best: Best, w: Words, hashes: np.ndarray, space: Space) -> No
             word = known[np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])]
             rows = space.vectors[at[word]] * idf[word, None].astype(np.float32)
             sums = np.add.reduceat(rows, np.cumsum(high - low) - (high - low), axis=0)
-            cosine = (sums @ space.passages) / np.sqrt(weight[part])[:, None]
-            for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
+            product = sums @ space.passages
+            cosine = product / np.sqrt(weight[part])[:, None]
+            for i, j in zip(*np.nonzero((product / space.length if space.by_share else cosine) >= COSINE), strict=True):
                 k = part[i]
                 key, value = (int(doc[k]), int(space.owner[j])), (float(cosine[i, j]), int(start[k]), int(end[k]))
                 if value > best.get((*key, k // 8), (0.0, 0, 0)):
@@ -264,8 +281,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     `similarity` is the share of the item's words, `answer` that of its last words, in
     order around the place. Words are runs of letters and digits, in lower case. Null
-    and empty texts and items hold nothing and are never found, nor are items made only of
-    common words. Rows that repeat are judged each; other columns are not read.
+    and empty texts and items hold nothing and are never found. Rows that repeat are judged each; other columns are not read.
     """
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text")
@@ -274,10 +290,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     to_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
 
     frequencies, total = document_frequencies(docs)
-    idf = weights(frequencies, total)
+    idf, common = weights(frequencies, total)
 
     def search(items: list[Item]) -> DataFrame | None:
-        spaces = latent_spaces(spark, items, idf)
+        spaces = latent_spaces(spark, items, idf, common)
         if not spaces:
             return None
         known = spark.sparkContext.broadcast((items, spaces))

@@ -231,6 +231,24 @@ def test_decontamination_finds_verbatim_items_of_a_large_benchmark(spark, docume
     assert {(r.doc_id, r.item_id) for r in contaminated(documents(rows), benchmark).collect()} == want
 
 
+@pytest.mark.parametrize("size", [10, 38])
+def test_decontamination_finds_an_item_of_a_third_of_the_documents(spark, documents, size):
+    """Its copies make all of its words common; another item is in one document."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(3000)]
+    items = [[rng.choice(vocabulary) for _ in range(size)] for _ in range(2)]
+    rows, want = [], {(1, 1)}
+    for i in range(150):
+        words = [rng.choice(vocabulary) for _ in range(200)]
+        if i % 3 == 0 or i == 1:
+            at = rng.randint(0, 200)
+            words[at:at] = items[i == 1]
+            want.add((i, int(i == 1)))
+        rows.append((i, " ".join(words)))
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id int, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(documents(rows), benchmark).collect()} == want
+
+
 def test_decontamination_edge_cases(spark, documents, clashing):
     empty = spark.createDataFrame([], "item_id int, text string")
     rows = [(1, None), (2, ""), (3, "the answer is forty two"), (3, "the answer is forty two"), (None, "the answer is forty two"), (4, "z " * 100_000)]
