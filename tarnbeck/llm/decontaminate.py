@@ -215,11 +215,12 @@ def common_subsequence(needle: np.ndarray, words: np.ndarray) -> int:
     return len(needle) - row.bit_count()
 
 
-Best = dict[tuple[int, int, int], tuple[float, int, int]]
+#: Of each text and item the windows, (start, end), with their highest cosine.
+Candidates = dict[tuple[int, int], dict[tuple[int, int], float]]
 
 
-def add_candidates(best: Best, w: Words, hashes: np.ndarray, space: Space) -> None:
-    """The windows that come close to a passage of the space: (text, item, group) and (cosine, start, end)."""
+def add_candidates(found: Candidates, w: Words, hashes: np.ndarray, space: Space) -> None:
+    """All windows that come close to a passage of the space."""
     bucket = _bucket(hashes)
     idf = space.idf[bucket]
     at = space.place[bucket]
@@ -250,28 +251,31 @@ def add_candidates(best: Best, w: Words, hashes: np.ndarray, space: Space) -> No
             cosine = product / np.sqrt(weight[part])[:, None]
             for i, j in zip(*np.nonzero((product / space.length if space.by_share else cosine) >= COSINE), strict=True):
                 k = part[i]
-                key, value = (int(doc[k]), int(space.owner[j])), (float(cosine[i, j]), int(start[k]), int(end[k]))
-                if value > best.get((*key, k // 8), (0.0, 0, 0)):
-                    best[*key, k // 8] = value
+                windows = found.setdefault((int(doc[k]), int(space.owner[j])), {})
+                place = int(start[k]), int(end[k])
+                windows[place] = max(windows.get(place, 0.0), float(cosine[i, j]))
 
 
 def found_in(texts: list[bytes], items: list[Item], spaces: list[Space]) -> Iterator[tuple[int, int, float, float, float]]:
     """Text, item, cosine, share of the item's words and of its answer's, for each item found in a text."""
     w = Words(texts, table=LETTERS)
     hashes = w.hashes()
-    best: Best = {}
+    near: Candidates = {}
     for space in spaces:
-        add_candidates(best, w, hashes, space)
+        add_candidates(near, w, hashes, space)
     result: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for (doc_i, item_i, _), (cosine_i, start_i, end_i) in best.items():
+    for (doc_i, item_i), windows in near.items():
         item = items[item_i]
         reach = len(item.words)
         first, count = w.first[doc_i], w.count[doc_i]
-        around = hashes[max(first, start_i - reach) : min(first + count, end_i + reach)]
-        share = common_subsequence(item.words, around) / max(reach, 1)
-        answer = common_subsequence(item.answer, around) / max(len(item.answer), 1)
-        if share >= SIMILAR or (share >= PARAPHRASED and answer >= SIMILAR):
-            result[doc_i, item_i] = max(result.get((doc_i, item_i), (0.0, 0.0, 0.0)), (share, answer, cosine_i))
+        for (start_i, end_i), cosine_i in sorted(windows.items(), key=lambda x: (-x[1], x[0])):
+            around = hashes[max(first, start_i - reach) : min(first + count, end_i + reach)]
+            share = common_subsequence(item.words, around) / max(reach, 1)
+            answer = common_subsequence(item.answer, around) / max(len(item.answer), 1)
+            if share >= SIMILAR or (share >= PARAPHRASED and answer >= SIMILAR):
+                result[doc_i, item_i] = max(result.get((doc_i, item_i), (0.0, 0.0, 0.0)), (share, answer, cosine_i))
+            if share == answer == 1:  # no window of a lower cosine can have more
+                break
     for (doc_i, item_i), (share, answer, cosine_i) in sorted(result.items()):
         yield doc_i, item_i, cosine_i, share, answer
 

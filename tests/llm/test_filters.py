@@ -249,6 +249,28 @@ def test_decontamination_finds_an_item_of_a_third_of_the_documents(spark, docume
     assert {(r.doc_id, r.item_id) for r in contaminated(documents(rows), benchmark).collect()} == want
 
 
+def test_decontamination_checks_every_window_near_an_item(spark, documents):
+    """Quotations, closer to the item by the cosine, are strewn before and after its paraphrase."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(3000)]
+
+    def text(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    item = text(40)
+    rows, want = [], set()
+    for i in range(50):
+        copy = list(item)
+        for j in rng.sample(range(32), 18):  # the answer stays
+            copy[j] = rng.choice(vocabulary)
+        others = [word for _ in range(10) for word in [*item[:16], *text(14)]]
+        rows.append((i, " ".join(text(i) + others + text(6) + copy + text(20) + others)))
+        want.add((i, 0))
+    rows += [(i, " ".join(text(60))) for i in range(50, 1500)]
+    benchmark = spark.createDataFrame([(0, " ".join(item))], "item_id int, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(documents(rows), benchmark).collect()} == want
+
+
 def test_decontamination_edge_cases(spark, documents, clashing):
     empty = spark.createDataFrame([], "item_id int, text string")
     rows = [(1, None), (2, ""), (3, "the answer is forty two"), (3, "the answer is forty two"), (None, "the answer is forty two"), (4, "z " * 100_000)]
