@@ -5,9 +5,11 @@ k of a source of weight w may run from slot floor(k/w) and must end by slot
 ceil((k+1)/w). Earliest deadline first among the released blocks then keeps every
 source less than one block from its share at every slot.
 
-Weights are whole numbers out of PERIOD, so releases and deadlines repeat every PERIOD
-slots, and so does the schedule: it is worked out for one period, whose size does not
-grow with the data, and every document finds its slot from it by plain arithmetic.
+Weights are whole numbers out of a period. Unless one is given it grows with the slots
+and the sources, so that rounding moves no source by more than 1/FINE of a block over all
+slots. The order is worked out slot by slot on the driver, one slot for BLOCK_DOCS rows,
+and is handed over in pieces of PIECE_SLOTS: its time grows with the data, its memory with
+the sources only.
 When a source has no blocks left, its weight is shared out and a new schedule begins.
 Nothing is dropped or repeated.
 """
@@ -15,17 +17,22 @@ Nothing is dropped or repeated.
 from __future__ import annotations
 
 import heapq
-import json
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tarnbeck.llm.store import stored
 from tarnbeck.sources.tables import table
 
 BLOCK_DOCS = 16
-PERIOD = 1000
+FINE = 1000
+#: Slots that the driver holds at a time.
+PIECE_SLOTS = 250_000
 #: Rows that one task orders at a time.
 BUCKET_ROWS = 20_000
 ADDED = ("mix_block", "mix_slot", "mix_release", "mix_deadline", "mix_position")
@@ -98,22 +105,59 @@ def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float]
     return found
 
 
-def _small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+def schedule(
+    blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int | None = None
+) -> Iterator[tuple[str | None, int, int, int, int]]:
+    """Source, block, slot, release and deadline of every block, by slot; the phases are those of `phases`."""
+    done = {s: 0 for s, n in blocks.items() if n}
+    slot = 0
+    while done:
+        start, first = slot, dict(done)
+        whole = period or FINE * (len(done) + 1) * sum(blocks[s] - k for s, k in done.items())
+        mine = {s: weights[s] for s in done}
+        quota = quotas(mine if sum(mine.values()) > 0 else dict.fromkeys(done, 1.0), whole)
+        order = list(quota)
+        waiting = [(0, i, 0) for i in range(len(order))]  # release, source, block
+        ready: list[tuple[int, int, int, int]] = []  # deadline, source, block, release
+        while True:
+            while waiting and waiting[0][0] <= slot - start:
+                release, i, k = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(k + 1) * whole // quota[order[i]]), i, k, release))
+            deadline, i, k, release = heapq.heappop(ready)
+            s = order[i]
+            if done[s] == blocks[s]:  # the first slot that some source cannot fill ends the phase
+                break
+            yield s, first[s] + k, slot, start + release, start + deadline
+            done[s] += 1
+            slot += 1
+            heapq.heappush(waiting, ((k + 1) * whole // quota[s], i, k + 1))
+        done = {s: k for s, k in done.items() if k < blocks[s]}
+
+
+def _slots(spark: SparkSession, rows: Iterator[tuple]) -> DataFrame:
+    """The schedule as a table; more than one piece is stored."""
+    names = ("_mix_source", "_mix_block", "mix_slot", "mix_release", "mix_deadline")
+    types = pa.schema([(names[0], pa.string()), *((n, pa.int64()) for n in names[1:])])
+    pieces: list[DataFrame] = []
+    while (piece := list(islice(rows, PIECE_SLOTS))) or not pieces:
+        columns = list(zip(*piece, strict=True)) or [[]] * len(names)
+        found = spark.createDataFrame(pa.table(dict(zip(names, columns, strict=True)), types))
+        pieces.append(stored(found) if len(piece) == PIECE_SLOTS else found)
+    return reduce(DataFrame.unionByName, pieces)
 
 
 def mix(
     documents: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     block_docs: int = BLOCK_DOCS,
-    period: int = PERIOD,
+    period: int | None = None,
 ) -> DataFrame:
     """All rows and columns of `documents`, with where each stands in the mixture.
 
     `weights` gives each source's target; by default the square root of its rows. A
-    source without one counts as weight 0, and every source gets at least 1/`period`.
-    A null source is a source of its own. There may be at most `period` sources; their
-    counts are all that the driver sees. Added columns (an older column of that name
+    source without one counts as weight 0. If a `period` is given, weights are rounded to
+    parts of it, at least one for each source, so there may be at most as many sources. A
+    null source is a source of its own. Counts by source are all that the driver sees. Added columns (an older column of that name
     or one that starts with `_mix_` goes): mix_block, the block's number in its source; mix_slot; mix_release and
     mix_deadline, the slots from which and before which it is due; mix_position, by
     which to sort. A last block may be short, so positions can have gaps. Order within
@@ -125,7 +169,7 @@ def mix(
     counts = {r[0]: r[1] for r in documents.groupBy("source").count().collect()}
     target = weights if weights is not None else {s: n**0.5 for s, n in counts.items()}
     blocks = {s: -(-n // block_docs) for s, n in counts.items()}
-    plan = phases(blocks, {s: target.get(s, 0.0) for s in counts}, period)
+    slots = _slots(spark, schedule(blocks, {s: target.get(s, 0.0) for s in counts}, period))
 
     # A source of any size is ordered in buckets of its hash, so none is one task's work.
     buckets = max(1, -(-max(counts.values(), default=0) // BUCKET_ROWS))
@@ -144,36 +188,11 @@ def mix(
         .drop("_mix_source", "_mix_b", "_mix_bucket", "_mix_key", "_mix_before", "_mix_rank")
     )
 
-    spans, places = [], []
-    for i, phase in enumerate(plan):
-        after = plan[i + 1].first_block if i + 1 < len(plan) else {}
-        for s, quota in phase.quota.items():
-            first = phase.first_block[s]
-            last = after.get(s, blocks[s])
-            if last > first:
-                spans.append({"_mix_source": s, "_mix_phase": i, "_mix_first": first, "_mix_end": last, "_mix_start": phase.start, "_mix_quota": quota})
-                for k, slot in enumerate(phase.slots[s]):
-                    places.append({"_mix_p": i, "_mix_s": s, "_mix_k": k, "_mix_slot": slot})
-    span = _small_table(spark, spans, "_mix_source string, _mix_phase int, _mix_first long, _mix_end long, _mix_start long, _mix_quota long")
-    place = _small_table(spark, places, "_mix_p int, _mix_s string, _mix_k long, _mix_slot long")
-    k = F.col("mix_block") - F.col("_mix_first")
-    due = F.expr(f"((mix_block - _mix_first + 1) * {period} + _mix_quota - 1) div _mix_quota")
     return (
-        rows.join(span, same & (F.col("mix_block") >= F.col("_mix_first")) & (F.col("mix_block") < F.col("_mix_end")))
-        .join(
-            place,
-            (F.col("_mix_phase") == F.col("_mix_p")) & F.col("source").eqNullSafe(F.col("_mix_s")) & (k % F.col("_mix_quota") == F.col("_mix_k")),
-        )
-        .withColumns(
-            {
-                "mix_slot": F.col("_mix_start") + F.expr("(mix_block - _mix_first) div _mix_quota") * period + F.col("_mix_slot"),
-                "mix_release": F.col("_mix_start") + F.expr(f"((mix_block - _mix_first) * {period}) div _mix_quota"),
-                "mix_deadline": F.col("_mix_start") + due,
-            }
-        )
+        rows.join(slots, same & (F.col("mix_block") == F.col("_mix_block")))
         .withColumn("mix_position", F.col("mix_slot") * block_docs + F.col("_mix_sequence") % block_docs)
         .select(*documents.columns, *ADDED)
-    )
+    )
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,6 +147,22 @@ def test_mixture_of_the_test_documents(spark):
     check_mixture(rows, counts, {s: n**0.5 for s, n in counts.items()}, 16, 1000)
 
 
+def test_mixture_keeps_to_the_given_weights(documents):
+    """Twenty sources and a hot one over thousands of slots, against the weights themselves; one of them under 1/1000."""
+    weights = {f"s{i}": 1.0 for i in range(19)} | {"small": 0.01, "hot": 5.3}
+    rows = [(i, "t", "en", "hot" if i % 3 == 0 else "small" if i % 100 == 1 else f"s{i % 19}") for i in range(9000)]
+    counts = Counter(r[3] for r in rows)
+    order = [r.source for r in sorted(mix(documents(rows), weights, block_docs=1).collect(), key=lambda r: r.mix_slot)]
+    assert Counter(order) == counts
+    done, total = Counter(), sum(weights.values())
+    for slot, source in enumerate(order, 1):
+        done[source] += 1
+        assert all(abs(done[s] - slot * w / total) < 1.01 for s, w in weights.items())
+        if any(done[s] == counts[s] for s in weights):
+            break
+    assert slot > 5000
+
+
 def test_mixture_edge_cases(documents, clashing):
     assert mix(documents([])).collect() == []
     rows = [(1, None), (1, None), (None, "x" * 100_000), (2, "")]
