@@ -163,6 +163,15 @@ def test_mixture_keeps_to_the_given_weights(documents):
     assert slot > 5000
 
 
+def test_mixture_of_more_than_a_thousand_sources(documents, monkeypatch):
+    monkeypatch.setattr("tarnbeck.llm.mixing.PIECE_SLOTS", 500, raising=False)
+    rows = [(i, "t", "en", f"site{i % 1001}") for i in range(1500)]
+    got = mix(documents(rows), block_docs=1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1500))
+    assert sorted(r.mix_slot for r in got) == list(range(1500))
+    assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in got)
+
+
 def test_mixture_edge_cases(documents, clashing):
     assert mix(documents([])).collect() == []
     rows = [(1, None), (1, None), (None, "x" * 100_000), (2, "")]
