@@ -138,14 +138,26 @@ def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+def _places(new: np.ndarray) -> np.ndarray:
+    """The place of each row in its run, by where a new run begins after the first row."""
+    edge = np.concatenate([[0], np.flatnonzero(new) + 1])
+    row = np.arange(len(new) + 1)
+    return row - edge[np.searchsorted(edge, row, side="right") - 1]
+
+
 def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple:
     """For each query the k rows of largest inner product but its own id: query numbers, ids, scores."""
-    # Of rows with the same vector only the k + 1 smallest ids can be among the nearest.
+    # Of rows with the same vector and id only k can be among the nearest. Of those with the
+    # same vector the 2 k of smallest ids have k besides any query's own.
     keys = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.shape[1] * 8))).ravel()
     _, kind = np.unique(keys, return_inverse=True)
     order = np.lexsort((ids, kind))
-    rank = np.arange(len(order)) - np.searchsorted(kind[order], kind[order])
-    order = order[rank <= k]
+    repeat = _places((np.diff(kind[order]) != 0) | (np.diff(ids[order]) != 0))
+    order = order[repeat < k]
+    order = order[_places(np.diff(kind[order]) != 0) < 2 * k]
+    # An id may have several vectors: so many of the nearest may be a query's own.
+    once = order[_places((np.diff(kind[order]) != 0) | (np.diff(ids[order]) != 0)) == 0]
+    own = np.unique(ids[once][np.isin(ids[once], query_ids)], return_counts=True)[1].max(initial=1)
     start = np.flatnonzero(np.concatenate([[True], np.diff(kind[order]) != 0]))
     size = np.diff(np.append(start, len(order)))
     distinct = rows[order[start]]
@@ -153,7 +165,7 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: n
     for a in range(0, len(queries), 256):
         q = queries[a : a + 256]
         product = q @ distinct.T
-        most = min(k + 1, len(distinct))
+        most = min(k + own, len(distinct))
         least = np.partition(product, len(distinct) - most, axis=1)[:, len(distinct) - most]
         # Sums in another order differ in the last digits; the margin lets none of them decide.
         margin = 1e-9 * np.abs(q).sum(axis=1) * np.abs(distinct).max(initial=0)
@@ -179,7 +191,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, sample: int =
     Nearest is the largest inner product, ties to the smaller vec_id. Rows take part
     whose vec_id is not null and whose vector is not null, not zero and has neither null
     nor non-finite components; if lengths differ, those of the commonest length. Rows
-    that repeat a vec_id are candidates each, but never of that id's own query. With
+    that repeat a vec_id are candidates each, but never of that id's own query; those
+    that repeat a query's vector too are one query. With
     fewer than k candidates all those found are returned; empty tables give none. The
     index is fitted on at most `sample` rows, the first by a hash of the id; all rows
     are indexed. Other columns are not read.
@@ -241,6 +254,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, sample: int =
     )
     queries = (
         placed.where("query")
+        .dropDuplicates(["vec_id", "embedding"])
         .select("vec_id", "embedding", F.explode("parts").alias("part"))
         .withColumn("query_block", F.pmod(mine, count(query_blocks)).cast("int"))
         .withColumn("block", every(count(blocks)))

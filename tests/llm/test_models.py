@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnbeck.llm.language import identify_language, marginals, op1_language
-from tarnbeck.llm.neighbours import balanced_parts, neighbour_graph, op2_neighbours, search
+from tarnbeck.llm.neighbours import balanced_parts, nearest, neighbour_graph, op2_neighbours, search
 from tarnbeck.llm.quality import op7_quality, quality
 from tarnbeck.llm.toxicity import op9_toxicity, toxicity
 
@@ -173,6 +173,20 @@ def test_neighbours_with_copies_ties_and_odd_vectors(spark, monkeypatch, limits)
     assert got == brute_search(good, 7)
 
 
+def test_neighbours_with_repeated_ids_among_copies(spark, monkeypatch):
+    """The query's id is there several times, in a group of copies and with other vectors."""
+    monkeypatch.setattr("tarnbeck.llm.neighbours.PROBED", 1.0)
+    rng = random.Random(3)
+    copy, far = [1.0, 2.0, 0.0, -1.0], [0.5, 0.5, 0.0, 0.0]
+    rows = [(20, copy)] * 3 + [(i, copy) for i in range(21, 28)] + [(31, copy)] * 2
+    rows += [(i, far) for i in range(41, 60)] + [(i, [rng.uniform(-0.1, 0.1) for _ in range(4)]) for i in range(61, 80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted(map(tuple, search(df, F.col("vec_id") == 20, k=7).collect()))
+    assert got == sorted(set(brute_search(rows, 7)))
+    x, ids = np.array([[3.0, 0.0], [2.5, 0.0], [2.0, 0.0], [1.5, 0.0], [1.0, 0.0]]), np.array([20, 20, 20, 1, 2])
+    assert nearest(x[:1], ids[:1], x, ids, 2)[1].tolist() == [1, 2]
+
+
 def test_neighbours_of_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
 
