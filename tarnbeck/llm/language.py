@@ -252,10 +252,13 @@ def identify_language(
 ) -> DataFrame:
     """lang_pred, score and, unless `runs` is false, the runs of words in one language, after the columns in `carry`.
 
-    `labelled` has doc_id, text and lang; at most `per_language` of its rows of each
-    language are learnt from. A null text, one without letters, and every text when
-    nothing is labelled get `und`, score 0 and no runs. With one labelled language that
-    is every text's language. Repeated rows are judged each; other columns are not read.
+    `labelled` has doc_id, text and lang; at most `per_language` of its texts of each
+    language, the first by a hash of the id, are learnt from. A null text, an empty one
+    or one without letters, and every text when nothing is labelled get `und`, score 0
+    and no runs. Long texts are read whole. Of languages equally likely the first by
+    name is taken. With one labelled language that is every text's language. Repeated
+    rows are judged each, an empty table gives an empty one. Columns not carried are not
+    read; a carried one named like a new one gives way to it.
     `runs` lists (first word, one past the last word, language) for each maximal run.
     """
     sample = sample_per_label(labelled, "lang", per_language)

@@ -2,9 +2,9 @@
 
 Each text is a set of n-gram indicators: byte n-grams, and n-grams over the shapes of
 its words (repeats the word before, capitals, digits, marks). Indicators are scaled by
-the log-count ratio of the two labels, counted by Spark over every row that may be
-learnt from. A linear hinge-loss model is then fitted on a bounded sample by dual
-coordinate descent, and scores every whole text.
+the log-count ratio of the two labels, counted by Spark over a large bounded sample of
+the rows that may be learnt from. A linear hinge-loss model is then fitted on a smaller
+one by dual coordinate descent, and scores every whole text.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.labelled import sample_per_label, with_label
+from tarnbeck.llm.labelled import first_ids, labelled_texts, sample_per_label
 from tarnbeck.llm.text import BYTE_BASE, Spans, Words, chunked, in_fold, text_bytes
 from tarnbeck.sources.tables import table
 
@@ -26,7 +26,9 @@ BYTE_BITS = 16
 SHAPE_BITS = 5
 SHAPE_SIZES = (1, 2, 3)
 BUCKETS = (1 << BYTE_BITS) + sum(1 << (SHAPE_BITS * n) for n in SHAPE_SIZES)
+#: Texts of each label that the model is fitted on, and that the ratios are counted over.
 SAMPLE_PER_LABEL = 2000
+RATIOS_PER_LABEL = 20_000
 PASSES = 12
 COST = 4.0
 SMOOTHING = 1.0
@@ -83,7 +85,7 @@ def indicators(texts: list[bytes | None]) -> Iterator[np.ndarray]:
 
 
 def log_count_ratios(labelled: DataFrame) -> np.ndarray:
-    """The log ratio of how often each bucket is in texts of label 1 and of label 0, over all rows.
+    """The log ratio of how often each bucket is in texts of label 1 and of label 0, over all these rows.
 
     Each task counts its own rows; what it sends, and what the driver gets, is at most
     one row per bucket.
@@ -149,18 +151,31 @@ def score_texts(texts: list[bytes | None], weights: np.ndarray, ratios: np.ndarr
     return 1 / (1 + np.exp(-2 * np.clip(np.array(margins), -15, 15)))
 
 
-def quality(documents: DataFrame, labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
+def quality(
+    documents: DataFrame,
+    labelled: DataFrame,
+    labels: DataFrame | None = None,
+    per_label: int = SAMPLE_PER_LABEL,
+    ratios_per_label: int = RATIOS_PER_LABEL,
+) -> DataFrame:
     """doc_id and `score`, above 0.5 where the model takes `quality` for 1, for every document.
 
-    `labelled` has doc_id, text and quality (0 or 1): all its rows are counted for the
-    ratios, at most `per_label` of each label fit the model. Null and empty texts have
-    no indicators and get the score of the bias. Without labelled rows every score is
-    0.5. Repeated rows are scored each; other columns are not read.
+    `labelled` has doc_id, text and quality (0 or 1); where a table `labels` is given,
+    quality is in that, by doc_id. At most `ratios_per_label` texts of each label, the
+    first by a hash of the id, are counted for the ratios, and the first `per_label` of
+    those fit the model. Null and empty texts have no indicators and get the score of
+    the bias; long texts are read whole, equal texts get equal scores. Without labelled
+    rows every score is 0.5. Repeated rows are scored each, an empty table gives an
+    empty one. Other columns are not read.
     """
-    ratios = log_count_ratios(labelled)
-    sample = sample_per_label(labelled, "quality", per_label)
-    labels = np.array([r.quality for r in sample], np.int64)
-    weights, bias = train([r.text.encode() for r in sample], labels, ratios)
+    named = (labelled if labels is None else labels).where(F.col("quality").isin(0, 1))
+    named = named.withColumn("quality", F.col("quality").cast("int"))
+    texts, labels = (named, None) if labels is None else (labelled, named)
+    ids = first_ids(texts, "quality", ratios_per_label, labels)
+    ratios = log_count_ratios(labelled_texts(texts, ids, "quality", labels is None))
+    sample = sample_per_label(texts, "quality", per_label, labels)
+    marks = np.array([r.quality for r in sample], np.int64)
+    weights, bias = train([r.text.encode() for r in sample], marks, ratios)
     model = documents.sparkSession.sparkContext.broadcast((weights, ratios, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +189,8 @@ def quality(documents: DataFrame, labelled: DataFrame, per_label: int = SAMPLE_P
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    labelled = with_label(documents, table(spark, sf_dir, "labels"), "quality", ~in_fold("doc_id", 3, 1))
-    return quality(documents, labelled).select(
+    learn = table(spark, sf_dir, "labels").where(~in_fold("doc_id", 3, 1))
+    return quality(documents, documents, learn).select(
         "doc_id",
         in_fold("doc_id", 3, 1).alias("held_out"),
         "score",

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.labelled import sample_per_label, with_label
+from tarnbeck.llm.labelled import sample_per_label
 from tarnbeck.llm.text import BYTE_BASE, Spans, Words, chunked, in_fold, text_bytes
 from tarnbeck.sources.tables import table
 
@@ -175,15 +175,22 @@ def score_texts(texts: list[bytes | None], numbers: np.ndarray, bias: float) ->
     return np.concatenate(scores) if scores else np.zeros(0)
 
 
-def toxicity(documents: DataFrame, labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
+def toxicity(
+    documents: DataFrame, labelled: DataFrame, labels: DataFrame | None = None, per_label: int = SAMPLE_PER_LABEL
+) -> DataFrame:
     """doc_id and `score`, the probability that `toxic` is 1, for every document.
 
-    `labelled` has doc_id, text and toxic (0 or 1). At most `per_label` of its rows of
-    each label are learnt from. Null and empty texts have no words and get the score
-    of the bias. Without labelled rows every score is 0.5. Repeated rows are scored
-    each; other columns are not read.
+    `labelled` has doc_id, text and toxic (0 or 1); where a table `labels` is given,
+    toxic is in that, by doc_id. At most `per_label` texts of each label, the first by a
+    hash of the id, are learnt from. Null and empty texts have no words and get the
+    score of the bias; long texts are read whole, equal texts get equal scores. Without
+    labelled rows every score is 0.5. Repeated rows are scored each, an empty table
+    gives an empty one. Other columns are not read.
     """
-    sample = sample_per_label(labelled, "toxic", per_label)
+    named = (labelled if labels is None else labels).where(F.col("toxic").isin(0, 1))
+    named = named.withColumn("toxic", F.col("toxic").cast("int"))
+    texts, labels = (named, None) if labels is None else (labelled, named)
+    sample = sample_per_label(texts, "toxic", per_label, labels)
     numbers, bias = train([r.text.encode() for r in sample], np.array([r.toxic for r in sample], np.int64))
     model = documents.sparkSession.sparkContext.broadcast((numbers, bias))
 
@@ -198,8 +205,8 @@ def toxicity(documents: DataFrame, labelled: DataFrame, per_label: int = SAMPLE_
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    labelled = with_label(documents, table(spark, sf_dir, "labels"), "toxic", ~in_fold("doc_id", 5, 0))
-    return toxicity(documents, labelled).select(
+    learn = table(spark, sf_dir, "labels").where(~in_fold("doc_id", 5, 0))
+    return toxicity(documents, documents, learn).select(
         "doc_id",
         in_fold("doc_id", 5, 0).alias("held_out"),
         "score",

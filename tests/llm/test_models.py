@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
+from tarnbeck.llm.labelled import sample_per_label
 from tarnbeck.llm.language import identify_language, marginals, op1_language
 from tarnbeck.llm.neighbours import balanced_parts, nearest, neighbour_graph, op2_neighbours, search
 from tarnbeck.llm.quality import op7_quality, quality
@@ -118,6 +120,41 @@ def test_scores_of_odd_inputs(spark, clashing, operator, label, labels):
     assert operator(clashing([]), labelled).collect() == []
 
 
+def test_sample_is_the_first_by_hash_of_each_label(spark, documents):
+    """One label is rare, ids repeat, most labelled ids have no text."""
+    rows = [(i, f"text {i}") for i in range(600)] + [(3, "text 3")] * 200 + [(None, "none"), (601, None)]
+    docs = documents(rows)
+    marks = [(i, int(i % 50 == 0)) for i in range(6000)] + [(0, 0), (7, None), (None, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, mark int").repartition(3)
+    keys = {r.doc_id: r.k for r in labels.select("doc_id", F.xxhash64("doc_id", F.lit(17)).alias("k")).collect()}
+    for n in (3, 20, 1000):
+        got = [(r.doc_id, r.text, r.mark) for r in sample_per_label(docs, "mark", n, labels)]
+        want = []
+        for mark in (0, 1):
+            ids = sorted({i for i, m in marks if m == mark and i is not None and i < 600}, key=lambda i: keys[i])
+            want += [(i, f"text {i}", mark) for i in ids[:n]]
+        assert got == want
+
+
+@pytest.mark.parametrize("query", [op7_quality, op9_toxicity])
+def test_no_text_is_shuffled_to_find_labels(spark, query, monkeypatch):
+    """Texts meet the chosen ids in a broadcast join; nothing else is shuffled with them, nor ranked."""
+    plans = []
+    collect = DataFrame.collect
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(DataFrame, "collect", spy)
+    query(spark, SMALL)
+    with_text = [p for p in plans if "text#" in p]
+    assert with_text and all("BroadcastHashJoin" in p and "Window" not in p and "SortMergeJoin" not in p for p in with_text)
+    for plan in with_text:  # from the top down: what is above the join is about chosen texts only
+        below = plan[plan.index("BroadcastHashJoin") :]
+        assert not any("Exchange hashpartitioning" in line or "Exchange range" in line for line in below.splitlines())
+
+
 @pytest.mark.parametrize("query", [op1_language, op7_quality, op9_toxicity])
 def test_scores_do_not_depend_on_partitioning(spark, conf, query):
     seen = set()
