@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,8 +20,14 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xC2B2AE3D27D4EB4F
 OTHER_BASE = 0x165667B19E3779F9
 
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
+#: The lowest 0 to 8 bytes of a number.
+LOW_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
 _U64 = np.uint64
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_prime_powers: dict[int, tuple[np.ndarray, ...]] = {}
 
 
 def fold(column: Column) -> Column:
@@ -57,7 +64,10 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Spans:
-    """Hashes of any spans of a sequence of numbers: equal spans have equal hashes."""
+    """Hashes of any spans of a sequence of numbers: equal spans have equal hashes.
+
+    Different spans of long regular patterns can have equal ones too, whatever the base.
+    """
 
     def __init__(self, values: np.ndarray, base: int):
         n = len(values)
@@ -76,6 +86,27 @@ class Spans:
         return mix((self.sums[length:] - self.sums[:n]) * self.inverse[:n])
 
 
+def prime_hashes(values: np.ndarray, length: int) -> np.ndarray:
+    """31-bit hashes of every span of this length, by a polynomial modulo a prime."""
+    n, prime = len(values) - length, (1 << 31) - 1
+    if n < 0:
+        return np.zeros(0, np.int64)
+    known = _prime_powers.get(prime)
+    if known is None or len(known[0]) < len(values):
+        size = 1 << len(values).bit_length()
+        known = tuple(np.array([1], np.int64) for _ in range(2))
+        bases = [OTHER_BASE % prime, pow(OTHER_BASE % prime, -1, prime)]
+        while len(known[0]) < size:  # twice as many with each step
+            known = tuple(np.concatenate([k, k * pow(b, len(k), prime) % prime]) for k, b in zip(known, bases, strict=True))
+        if size <= CHUNK_BYTES * 4:
+            _prime_powers[prime] = known
+    power, inverse = known
+    sums = np.zeros(len(values) + 1, np.int64)
+    small = (values >> _U64(33)).astype(np.int64)
+    np.cumsum(small * power[: len(values)] % prime, out=sums[1:])
+    return (sums[length:] - sums[: n + 1]) % prime * inverse[: n + 1] % prime
+
+
 def white() -> np.ndarray:
     """For each byte value whether it separates words: the blank and 0x09 to 0x0D."""
     table = np.zeros(256, bool)
@@ -142,7 +173,22 @@ class Words:
         self.doc = np.repeat(np.arange(self.n_docs), self.count)
 
     def hashes(self) -> np.ndarray:
-        return Spans(self.data, BYTE_BASE).of(self.start, self.end)
+        """64-bit hashes of the words' bytes, 8 bytes mixed in at a time.
+
+        Unlike in a weighted sum of bytes no pattern of two words cancels out.
+        """
+        size = self.end - self.start
+        eight = np.ndarray((len(self.data),), "<u8", np.concatenate([self.data, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
+        found = mix(size.astype(_U64) * _U64(BYTE_BASE))
+        left, done = np.flatnonzero(size <= LONG_WORD), 0
+        while len(left):
+            rest = size[left] - done
+            block = eight[self.start[left] + done] & LOW_BYTES[np.minimum(rest, 8)]
+            found[left] = mix((found[left] ^ block) * _U64(WORD_BASE))
+            left, done = left[rest > 8], done + 8
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            found[i] = xxhash.xxh64_intdigest(self.data[self.start[i] : self.end[i]], BYTE_BASE)
+        return found
 
     def ngram_buckets(self, sizes: tuple[int, ...], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each n: the words and hashed buckets of their byte n-grams.

@@ -5,7 +5,8 @@ window's anchor is the run of GRAM words in it with the smallest hash, so equal
 have equal anchors, and an anchor's count is never less than that of its windows. There
 are about 20 times fewer anchors than windows. A second pass sends only windows estimated
 repeated, each once per text, to be grouped exactly; a window that a text with a smaller
-id also has is removed from the larger.
+id also has is removed from the larger. Windows are one if 95 bits of hashes agree, of
+which 31 come from a polynomial modulo a prime over hashes of whole words.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tarnbeck.llm.sketch import estimated_repeated, repeated_cells
 from tarnbeck.llm.store import stored
-from tarnbeck.llm.text import OTHER_BASE, WORD_BASE, Spans, Words, chunked, smallest_places, text_bytes, with_columns
+from tarnbeck.llm.text import WORD_BASE, Spans, Words, chunked, prime_hashes, smallest_places, text_bytes, with_columns
 from tarnbeck.sources.tables import table
 
 WINDOW = 50
@@ -32,12 +33,9 @@ HOT_TEXTS = 500
 PARTS = 64
 
 
-def window_hashes(words: Words, i: int, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of each window of text i, 64 and 32 bits."""
-    own = hashes[words.first[i] : words.first[i] + words.count[i]]
-    if len(own) < window:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return Spans(own, WORD_BASE).all(window), Spans(own, OTHER_BASE).all(window) >> np.uint64(32)
+def window_hashes(words: Words, i: int, hashes: np.ndarray, window: int) -> np.ndarray:
+    """A 64-bit hash of each window of text i."""
+    return Spans(hashes[words.first[i] : words.first[i] + words.count[i]], WORD_BASE).all(window)
 
 
 def window_anchors(words: Words, i: int, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,13 +49,6 @@ def window_anchors(words: Words, i: int, hashes: np.ndarray, window: int) -> tup
     return grams[place], place
 
 
-def _chunks(texts: pa.Array, window: int) -> Iterator[tuple[int, list[bytes], Words, list[tuple[np.ndarray, np.ndarray]]]]:
-    for base, chunk in chunked(texts):
-        words = Words(chunk)
-        hashes = words.hashes()
-        yield base, chunk, words, [window_hashes(words, i, hashes, window) for i in range(len(chunk))]
-
-
 def _candidates(docs: DataFrame, sketch: Broadcast, bits: int, window: int) -> DataFrame:
     """doc_id, h and g of the windows estimated repeated, each once per text."""
 
@@ -66,18 +57,19 @@ def _candidates(docs: DataFrame, sketch: Broadcast, bits: int, window: int) -> D
             for base, chunk in chunked(text_bytes(batch)):
                 words = Words(chunk)
                 hashes = words.hashes()
-                rows, hs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+                rows, hs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for i in range(len(chunk)):
                     keep = estimated_repeated(window_anchors(words, i, hashes, window)[0], sketch.value, bits)
                     if keep.any():
-                        h, g = window_hashes(words, i, hashes, window)
-                        h, first = np.unique(h[keep], return_index=True)
+                        own = hashes[words.first[i] : words.first[i] + words.count[i]]
+                        h, first = np.unique(window_hashes(words, i, hashes, window)[keep], return_index=True)
+                        g = prime_hashes(own, window)
                         hs.append(h)
                         gs.append(g[keep][first])
                         rows.append(np.full(len(h), base + i))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(np.concatenate(rows))),
-                     pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(gs).astype(np.int64))],
+                     pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(gs))],
                     names=["doc_id", "h", "g"],
                 )
 
@@ -117,9 +109,11 @@ def repeated_windows(
 
     Words are runs of bytes other than the blank and 0x09 to 0x0D, unchanged. A word
     goes if a window of `window` words over it also starts in a document with a smaller
-    doc_id; windows are judged on the input. A null text has no words. Rows that repeat
-    a doc_id do not remove each other's windows. A null doc_id is larger than any other.
-    Other columns are not read; a carried column with the name of a new one gives way to it.
+    doc_id; windows are judged on the input. A null or empty text has no words, a text of
+    fewer words than a window keeps them, a long one is read whole. Rows that repeat a
+    doc_id do not remove each other's windows, so of ties the first id keeps them. A null
+    doc_id is larger than any other. An empty table gives an empty one. Columns not
+    carried are not read; a carried one with the name of a new one gives way to it.
     """
     docs = documents.select("doc_id", "text")
     carry = tuple(c for c in carry if c not in ("n_words", "n_removed", "kept", "_doc", "_id", "_gone"))
@@ -145,16 +139,18 @@ def repeated_windows(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for base, chunk, words, found in _chunks(text_bytes(batch), window):
+            for base, chunk in chunked(text_bytes(batch)):
+                words = Words(chunk)
+                hashes = words.hashes()
                 part = batch.slice(base, len(chunk))
                 gone = part.column("_gone")
                 removed, kept = [], []
-                for i, (text, (h, _)) in enumerate(zip(chunk, found, strict=True)):
+                for i, text in enumerate(chunk):
                     count = words.count[i]
                     covered = np.zeros(count + 1, np.int64)
                     if gone[i].is_valid:
                         bad = gone[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                        bad = np.flatnonzero(np.isin(h, bad))
+                        bad = np.flatnonzero(np.isin(window_hashes(words, i, hashes, window), bad))
                         np.add.at(covered, bad, 1)
                         np.add.at(covered, np.minimum(bad + window, count), -1)
                     keep = np.cumsum(covered)[:count] == 0

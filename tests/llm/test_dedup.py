@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from brute import brute_windows
 
 from tarnbeck.llm.components import components
 from tarnbeck.llm.simhash import fingerprints, links, near_duplicates
@@ -109,25 +110,6 @@ def test_simhash_edge_cases(documents, clashing):
     assert got == {(5, 2): 2, (None, 2): 1, (None, 9): 1, (9, 9): 1, (2, 2): 1}
 
 
-def brute_windows(rows, window):
-    first = {}
-    split = [(i, [w.decode() for w in (t or "").encode().split()]) for i, t in rows]
-    for i, words in split:
-        for j in range(len(words) - window + 1):
-            key = tuple(words[j : j + window])
-            rank = (i is None, i or 0)
-            first[key] = min(first.get(key, rank), rank)
-    out = []
-    for i, words in split:
-        gone = set()
-        for j in range(len(words) - window + 1):
-            if first[tuple(words[j : j + window])] < (i is None, i or 0):
-                gone.update(range(j, j + window))
-        kept = [w for k, w in enumerate(words) if k not in gone]
-        out.append((i, len(words), len(gone), " ".join(kept)))
-    return out
-
-
 def passages(rng, n, size):
     shared = [[word(rng) for _ in range(rng.randint(size // 2, 3 * size))] for _ in range(4)]
     rows = []
@@ -158,6 +140,26 @@ def test_windows_edge_cases(documents, clashing):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == Counter(brute_windows(rows, 3))
 
 
+def thue_morse(length):
+    """Two words that a weighted sum of bytes modulo a power of two cannot tell apart."""
+    ones = [i.bit_count() % 2 for i in range(length)]
+    return "".join("ab"[x] for x in ones), "".join("ba"[x] for x in ones)
+
+
+@pytest.mark.parametrize("length", [64, 256, 1024, 4096])
+def test_windows_differ_in_one_regular_word(documents, length):
+    common = " ".join(f"word{i}" for i in range(49))
+    rows = [(i, f"{w} {common}") for i, w in enumerate(thue_morse(length))]
+    assert Counter(map(tuple, repeated_windows(documents(rows)).collect())) == Counter(brute_windows(rows, 50))
+    assert {r.n_removed for r in repeated_windows(documents(rows)).collect()} == {0}
+
+
+def test_windows_of_a_regular_pattern_of_words(documents):
+    """A window of 1,024 words against one with the same words the other way round."""
+    rows = [(i, " ".join(w)) for i, w in enumerate(thue_morse(1024))]
+    assert {r.n_removed for r in repeated_windows(documents(rows), window=1024).collect()} == {0}
+
+
 def brute_strings(rows, length):
     texts = [(t or "").encode() for _, t in rows]
     counts = Counter(t[j : j + length] for t in texts for j in range(len(t) - length + 1))

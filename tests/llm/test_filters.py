@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from brute import brute_windows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -13,7 +14,6 @@ from tarnbeck.llm.language import op1_language
 from tarnbeck.llm.mixing import mix, one_period, op3_mixing, phases, quotas
 from tarnbeck.llm.simhash import near_duplicates
 from tarnbeck.llm.urls import RULES, boost, filter_urls, op4_urls, with_features
-from tests.llm.test_dedup import brute_windows
 
 SMALL = "/root/testdata/sf0.01"
 
