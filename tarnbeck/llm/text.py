@@ -259,6 +259,24 @@ def chunked(texts: pa.Array | list[bytes | None]) -> Iterator[tuple[int, list[by
         yield start, run
 
 
+def in_runs(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Like `chunked`, texts as strings and nulls as they are."""
+    base = 0
+    for start in range(0, len(texts), 64):
+        part = texts[start : start + 64].to_pylist()
+        run: list[str | None] = []
+        size = 0
+        for text in part:
+            n = len(text or "")
+            if run and size + n > CHUNK_BYTES:
+                yield base, run
+                base, run, size = base + len(run), [], 0
+            run.append(text)
+            size += n
+        yield base, run
+        base += len(run)
+
+
 def with_columns(batch: pa.RecordBatch, drop: tuple[str, ...], **more: pa.Array) -> pa.RecordBatch:
     """The batch without some columns and with others after it."""
     kept = [n for n in batch.schema.names if n not in drop]
