@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tarnbeck.llm.alignment import op11_alignment
 from tarnbeck.llm.decontaminate import op5_decontaminate
 from tarnbeck.llm.language import op1_language
 from tarnbeck.llm.mixing import op3_mixing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_suffixes": op10_suffixes,
+    "op11_alignment": op11_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_windows": OP6_SQL}
