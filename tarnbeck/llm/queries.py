@@ -8,6 +8,7 @@ from tarnbeck.llm.language import op1_language
 from tarnbeck.llm.mixing import op3_mixing
 from tarnbeck.llm.neighbours import op2_neighbours
 from tarnbeck.llm.quality import op7_quality
+from tarnbeck.llm.runs import OP12_SQL, op12_runs
 from tarnbeck.llm.simhash import op8_simhash
 from tarnbeck.llm.suffixes import op10_suffixes
 from tarnbeck.llm.toxicity import op9_toxicity
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_suffixes": op10_suffixes,
     "op11_alignment": op11_alignment,
+    "op12_runs": op12_runs,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_windows": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_windows": OP6_SQL, "op12_runs": OP12_SQL}
