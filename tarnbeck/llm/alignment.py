@@ -37,9 +37,9 @@ TOKENIZERS = "/opt/tokenizers"
 #: The most pairs whose counts are broadcast, 16 bytes each.
 HOT_PAIRS = 1 << 18
 #: Distinct segments, their ids and pairs that a task remembers; segments of more than LONG characters never.
-SEGMENTS, IDS, PAIRS, LONG = 300_000, 4_000_000, 1_000_000, 40
+SEGMENTS, IDS, PAIRS, LONG = 250_000, 3_000_000, 500_000, 40
 #: Tokens of A that are aligned at a time, or those of one text.
-RUN_TOKENS = 200_000
+RUN_TOKENS = 100_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 #: A blank between two words: neither blank nor U+2581, which B takes for one, is next to it.
 CUT = re.compile("(?<=[^\\s▁]) (?=[^\\s▁])")
@@ -87,30 +87,40 @@ class Tokenizers:
         self.lengths = tuple(np.fromiter((len(x or b"") for x in own), np.int64) for own in (self.bytes_a, self.bytes_b))
 
     def cut(self, text: str) -> tuple[Tokens, Tokens] | None:
-        """The tokens of a blank and the text by A and by B; none if their bytes are not those."""
+        """The tokens of a blank and the text by A and by B; none if their bytes are not those.
+
+        Spans are needed only where characters are not bytes: ASCII tokens are as long as what they decode to.
+        """
         whole = " " + text
-        a, b = self.a.encode(whole, add_special_tokens=False), self.b.encode(text, return_type="offset_mapping")
         raw = whole.encode()
+        plain = len(raw) == len(whole)
+        a, b = self.a.encode(whole, add_special_tokens=False), self.b.encode(text, return_type="numpy" if plain else "offset_mapping")
         out = []
         for ids, spans, own, length in (
-            (a.ids, a.offsets, self.bytes_a, self.lengths[0]),
-            (b["ids"], b["offsets"], self.bytes_b, self.lengths[1]),
+            (a.ids, None if plain else a.offsets, self.bytes_a, self.lengths[0]),
+            (b.tolist() if plain else b["ids"], None if plain else b["offsets"], self.bytes_b, self.lengths[1]),
         ):
             parts = [own[i] for i in ids]
             if None in parts or b"".join(parts) != raw:
                 return None
+            number = np.array(ids, np.int64)
+            if spans is None:
+                out.append((number, np.cumsum(length[number])))
+                continue
             span = np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(ids)).reshape(-1, 2)
-            if own is self.bytes_b and len(ids):
+            if own is self.bytes_b:
                 span += 1  # of the text, which follows the blank that B adds itself
                 span[0, 0] = 0
-            if len(raw) != len(whole):  # from characters to bytes
-                code = np.frombuffer(whole.encode("utf-32-le"), "<u4")
-                size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000).astype(np.int64)
-                span = np.concatenate([[0], np.cumsum(size)])[span]
-            number = np.array(ids, np.int64)
-            out.append((number, byte_ends(span, length[number])))
+            code = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+            size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000).astype(np.int64)
+            byte = np.concatenate([[0], np.cumsum(size)])
+            out.append((number, byte_ends(byte[span], length[number])))
         return out[0], out[1]
 
+    def id_type(self) -> str:
+        """What ids are stored as."""
+        return "<u2" if max(map(len, self.lengths)) <= 1 << 16 else "<u4"
+
 
 def byte_ends(span: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Where each token ends: where its span does if that is as long as its bytes, else counted on by bytes from the last that is."""
@@ -155,23 +165,25 @@ class Segments:
 
     def learn(self, fresh: list[str]) -> None:
         """Words are tokenized in one text with blanks between them, other segments each on its own."""
-        words, others = [], []
+        words: tuple[list[str], list[str]] = [], []  # of other characters too, of ASCII only
+        others = []
         for s in fresh:
             k = self.old.number.get(s) if self.old else None
             if k is not None:
                 pieces = (ids[starts[k] : starts[k + 1]] for ids, starts in zip(self.old.ids, self.old.starts, strict=True))
                 self._add(s, bool(self.old.valid[k]), tuple(pieces))
             elif s and OUTER.search(s) is None:
-                words.append(s)
+                words[s.isascii()].append(s)
             else:
                 others.append(s)
-        found = self.both.cut(" ".join(words)) if words else None
-        if words and found is None:
-            others += words
-        elif words:
-            limit = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words)))
-            self.number.update(zip(words, range(len(self.valid), len(self.valid) + len(words)), strict=True))
-            self.valid.extend(b"\1" * len(words))
+        for some in filter(None, words):
+            found = self.both.cut(" ".join(some))
+            if found is None:
+                others += some
+                continue
+            limit = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in some), np.int64, len(some)))
+            self.number.update(zip(some, range(len(self.valid), len(self.valid) + len(some)), strict=True))
+            self.valid.extend(b"\1" * len(some))
             for (number, ends), ids, starts in zip(found, self.ids, self.starts, strict=True):
                 starts.frombytes((np.searchsorted(ends, limit, side="right") + len(ids)).astype(np.int64).tobytes())
                 ids.frombytes(number.astype(np.int32).tobytes())
@@ -179,8 +191,8 @@ class Segments:
             found = self.both.cut(segment)
             self._add(segment, found is not None, ([], []) if found is None else (found[0][0].tolist(), found[1][0].tolist()))
 
-    def of(self, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
-        """The ids of each text by A and by B, none for texts without tokens."""
+    def of(self, texts: list[str | None]) -> list[pa.Array]:
+        """The packed ids of each text by A and by B, none for texts without tokens."""
         parts = [CUT.split(t) if t else [] for t in texts]
         fresh = [s for s in dict.fromkeys(chain.from_iterable(parts)) if s not in self.number]
         self.learn(fresh)
@@ -197,12 +209,14 @@ class Segments:
             size = start[numbers + 1] - start[numbers]
             ends = np.cumsum(size)
             at = np.repeat(start[numbers] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-            per_row = np.cumsum(np.bincount(row, size, len(parts)).astype(np.int64))
-            out.append(pa.LargeListArray.from_arrays(np.concatenate([[0], per_row]), pa.array(np.array(ids, np.int32)[at])))
+            packed = np.frombuffer(ids, np.int32)[at].astype(self.both.id_type())
+            limit = np.concatenate([[0], np.cumsum(np.bincount(row, size, len(parts)).astype(np.int64))]) * packed.itemsize
+            packed = packed.tobytes()
+            out.append(pa.array([packed[i:j] for i, j in zip(limit, limit[1:], strict=False)], pa.binary()))
         for segment in fresh:
             if len(segment) > LONG:
                 del self.number[segment]
-        return out[0], out[1]
+        return out
 
 
 _remembered: dict[tuple[str, str], Segments] = {}
@@ -218,32 +232,30 @@ def segments(byte_bpe: str, piece_bpe: str) -> Segments:
 
 
 def tokens(documents: DataFrame, byte_bpe: str, piece_bpe: str) -> DataFrame:
-    """row, doc_id and the ids of each text by A and by B, stored; `row` numbers the rows."""
+    """row, doc_id and the packed ids of each text by A and by B, stored; `row` numbers the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, texts in in_runs(batch.column("text")):
-                a, b = segments(byte_bpe, piece_bpe).of(texts)
                 doc_id = batch.column("doc_id").slice(base, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [doc_id, a.cast(pa.list_(pa.int32())), b.cast(pa.list_(pa.int32()))], names=["doc_id", "a", "b"]
-                )
+                yield pa.RecordBatch.from_arrays([doc_id, *segments(byte_bpe, piece_bpe).of(texts)], names=["doc_id", "a", "b"])
 
     docs = documents.select("doc_id", "text")
-    found = docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, a array<int>, b array<int>")
+    found = docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, a binary, b binary")
     return stored(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "a", "b"))
 
 
 class Aligned:
     """Tokens of some rows, one after the other, with where both tokenizers' tokens end."""
 
-    def __init__(self, batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray], id_type: str):
         self.ids, self.first, self.end = [], [], []
         for name, length in zip("ab", lengths, strict=True):
-            column = batch.column(name)
-            ids = column.flatten().to_numpy().astype(np.int64)
+            packed = batch.column(name).to_pylist()
+            ids = np.frombuffer(b"".join(packed), id_type).astype(np.int64)
+            size = np.fromiter(map(len, packed), np.int64, len(packed)) // np.dtype(id_type).itemsize
             self.ids.append(ids)
-            self.first.append(np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())]).astype(np.int64))
+            self.first.append(np.concatenate([[0], np.cumsum(size)]))
             # Rows have as many bytes by either, so ends can be counted on over all rows.
             self.end.append(np.cumsum(length[ids]))
         cuts = np.sort(np.concatenate(self.end), kind="stable")
@@ -290,20 +302,22 @@ class Aligned:
         return [text[s : e - 1] if e > s else "" for s, e in zip(ends, ends[1:], strict=False)]
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], lengths: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+def _aligned(
+    batches: Iterator[pa.RecordBatch], lengths: tuple[np.ndarray, np.ndarray], id_type: str
+) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
     """The batches in slices of RUN_TOKENS, or of one row."""
     for batch in batches:
-        size = np.cumsum(pc.list_value_length(batch.column("a")).to_numpy())
+        size = np.cumsum(pc.binary_length(batch.column("a")).to_numpy() // np.dtype(id_type).itemsize)
         start = 0
         while start < batch.num_rows:
             limit = (size[start - 1] if start else 0) + RUN_TOKENS
             stop = max(int(np.searchsorted(size, limit, side="right")), start + 1)
             part = batch.slice(start, stop - start)
-            yield part, Aligned(part, lengths)
+            yield part, Aligned(part, lengths, id_type)
             start = stop
 
 
-def pair_counts(found: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def pair_counts(found: DataFrame, lengths: tuple[np.ndarray, np.ndarray], id_type: str) -> DataFrame:
     """pair and n, in how many rows it is linked. A task adds up its rows before it sends them, PAIRS at most at a time."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +335,7 @@ def pair_counts(found: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> Dat
         def sent() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
 
-        for _, aligned in _aligned(batches, lengths):
+        for _, aligned in _aligned(batches, lengths, id_type):
             row, linked = aligned.links()
             order = np.lexsort((linked, row))
             row, linked = row[order], linked[order]
@@ -374,9 +388,10 @@ def align(
     other columns are not read. The model files have to be at their paths on every
     executor.
     """
-    lengths = tokenizers(byte_bpe, piece_bpe).lengths
+    both = tokenizers(byte_bpe, piece_bpe)
+    lengths, id_type = both.lengths, both.id_type()
     found = tokens(documents, byte_bpe, piece_bpe)
-    counts = stored(pair_counts(found, lengths))
+    counts = stored(pair_counts(found, lengths, id_type))
     least = hot_threshold(counts, hot_pairs)
     hot = counts.where(F.col("n") >= least).toArrow().sort_by("pair")
     # One row for each id of A: its vocabulary bounds them.
@@ -394,7 +409,7 @@ def align(
         return np.where(hot_pair[at] == pair, n[at], 0)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, aligned in _aligned(batches, lengths):
+        for part, aligned in _aligned(batches, lengths, id_type):
             cuts = aligned.cuts
             kinds, of = np.unique(aligned.pair, return_inverse=True)
             n = counts_of(kinds)
@@ -417,7 +432,7 @@ def align(
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each row the pairs that are not broadcast, with how often they are linked."""
-        for part, aligned in _aligned(batches, lengths):
+        for part, aligned in _aligned(batches, lengths, id_type):
             row, pair = aligned.links()
             cold = counts_of(pair) == 0
             row, pair = row[cold], pair[cold]
