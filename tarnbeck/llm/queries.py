@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tarnbeck.llm.alignment import op11_alignment
+from tarnbeck.llm.bitsliced import OP13_SQL, op13_topk
 from tarnbeck.llm.decontaminate import op5_decontaminate
 from tarnbeck.llm.language import op1_language
 from tarnbeck.llm.mixing import op3_mixing
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
     "op11_alignment": op11_alignment,
     "op12_runs": op12_runs,
+    "op13_topk": op13_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_windows": OP6_SQL, "op12_runs": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_windows": OP6_SQL, "op12_runs": OP12_SQL, "op13_topk": OP13_SQL}
