@@ -188,7 +188,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = NEAREST, scale: int = S
     its own length, of all rows but those of its own id. Ties go to the smaller vec_id.
     Rows that repeat a vec_id are candidates each; queries that repeat an id and a vector
     are one. With fewer than k candidates all are returned; an empty table gives an empty
-XX Other columns are not read.
+    one. A score that does not fit in 64 bits is an error. Other columns are not read.
     """
     spark = vectors.sparkSession
     rows = vectors.where(finite(F.col("embedding")) & F.col("vec_id").isNotNull()).select(
