@@ -6,10 +6,17 @@ sorted only against suffixes with the same anchor. Strings that start next to ea
 and share their anchor form a stretch, on average 85 of them, and travel as one piece of
 text. A count-min sketch of the anchors leaves those at home whose anchor occurs once.
 
-Splitters from a sample of leading tokens, the first 8 bytes of anchors, range-partition
-the stretches. Each bucket sorts its suffixes by multikey quicksort, 8 bytes a key; those
-still tied after LENGTH bytes are repeated. A bucket holds all suffixes of its anchors,
-so ties never cross its boundary.
+A task sends a stretch to be sorted once, however often it meets it; copies of it are
+repeated for certain. Splitters from a sample of leading tokens, the first 8 bytes of
+anchors, range-partition the stretches. Each bucket sorts the suffixes of its distinct
+stretches by multikey quicksort, 8 bytes a key; those still tied after LENGTH bytes are
+repeated. A bucket holds all suffixes of its anchors, so ties never cross its boundary.
+The runs of repeated strings found in a stretch are then joined with its places.
+
+An anchor found in very many stretches, as a frequent phrase is, would be one task's
+work. In those of a sample the strings are dealt out further, by all the bytes that
+strings with the anchor at about the same place have in common: HOT_WIDTH bytes less than
+a string.
 """
 
 from __future__ import annotations
@@ -19,11 +26,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnbeck.llm.labelled import below
 from tarnbeck.llm.sketch import estimated_repeated, repeated_cells
-from tarnbeck.llm.text import BYTE_BASE, Spans, chunked, smallest_places, text_bytes
+from tarnbeck.llm.store import stored
+from tarnbeck.llm.text import BYTE_BASE, Spans, chunked, mix, smallest_places, text_bytes
 from tarnbeck.sources.tables import table
 
 LENGTH = 200
@@ -34,8 +44,11 @@ SAMPLE_TOKENS = 20_000
 BUCKETS_PER_PARTITION = 4
 #: Bytes of stretches that are sorted at a time; all of one anchor are sorted together.
 SORT_BYTES = 1 << 21
-#: Numbers that rows which need no sorting are dealt out by.
-SPREAD = 1009
+#: Stretches that a task remembers having sent.
+SENT = 500_000
+#: An anchor with so many different stretches in a SAMPLE_SHARE of the texts is split, and
+#: so are at most MOST_HOT anchors; strings whose anchors are so many bytes apart stay together.
+HOT_STRETCHES, SAMPLE_SHARE, MOST_HOT, HOT_WIDTH = 2000, 50, 1 << 16, 11
 
 
 class Stretches:
@@ -67,12 +80,43 @@ class Stretches:
         self.anchor = grams[self.place] if len(self.first) else np.zeros(0, np.uint64)
         self.length = length
         self.spans = spans
+        self.token = self.place
+
+    def take(self, rows: np.ndarray) -> None:
+        """Only these stretches from here on."""
+        for name in ("first", "last", "doc", "offset", "place", "anchor", "token"):
+            setattr(self, name, getattr(self, name)[rows])
+
+    def split(self, hot: np.ndarray, gram: int) -> None:
+        """Stretches of these anchors in parts, with the bytes common to all strings of a part as their anchor."""
+        is_hot = np.isin(self.anchor, hot)
+        if not is_hot.any():
+            return
+        width = HOT_WIDTH
+        # How far into its string the anchor is, in steps of `width`.
+        low, high = (self.place - self.last) // width, (self.place - self.first) // width
+        n = np.where(is_hot, high - low + 1, 1)
+        rows = np.repeat(np.arange(len(n)), n)
+        step = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first, offset = self.first, self.offset
+        self.take(rows)
+        is_hot = is_hot[rows]
+        latest = self.place - step * width
+        self.first = np.where(is_hot, np.maximum(self.first, latest - width + 1), self.first)
+        self.last = np.where(is_hot, np.minimum(self.last, latest), self.last)
+        self.offset = offset[rows] + self.first - first[rows]
+        part = np.flatnonzero(is_hot)
+        self.anchor[part] = self.spans.of(latest[part], latest[part] - width + 1 + self.length)
+        self.token = np.where(is_hot, latest, self.token)
 
     def content(self) -> np.ndarray:
-        return self.spans.of(self.first, self.last + self.length)
+        """A hash of the text of each stretch; not a weighted sum, in which regular patterns may cancel out."""
+        raw, digest = self.data.tobytes(), xxhash.xxh64_intdigest
+        ends = (self.last + self.length).tolist()
+        return np.array([digest(raw[a:b]) for a, b in zip(self.first.tolist(), ends, strict=True)], np.uint64)
 
     def tokens(self) -> np.ndarray:
-        return leading(self.data)[self.place]
+        return leading(self.data)[self.token]
 
 
 def leading(data: np.ndarray) -> np.ndarray:
@@ -102,61 +146,103 @@ def tied(data: np.ndarray, start: np.ndarray, group: np.ndarray, length: int) ->
     return found
 
 
-def repeated_runs(
-    anchor: np.ndarray, content: np.ndarray, count: np.ndarray, known: np.ndarray, text: pa.Array, length: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows and first and last places in them of runs of repeated strings; rows are sorted by anchor and content.
+def repeated_runs(anchor: np.ndarray, whole: np.ndarray, text: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and first and last places in them of runs of repeated strings; rows are distinct stretches, sorted by anchor.
 
-    `known` rows are those that have copies elsewhere, which are not among the rows.
+    `whole` stretches are known to be repeated.
     """
-    n = len(anchor)
-    new_anchor = np.ones(n, bool)
-    new_anchor[1:] = anchor[1:] != anchor[:-1]
-    new = new_anchor.copy()
-    new[1:] |= content[1:] != content[:-1]
-    kind = np.cumsum(new) - 1
-    copies = np.bincount(kind, 1 + known).astype(np.int64)
-    group = (np.cumsum(new_anchor) - 1)[new]
-    all_repeated = copies[kind] > 1
-    rows, lows, highs = [np.flatnonzero(all_repeated)], [np.zeros(all_repeated.sum(), np.int64)], [count[all_repeated] - 1]
+    new = np.ones(len(anchor), bool)
+    new[1:] = anchor[1:] != anchor[:-1]
+    group = np.cumsum(new) - 1
+    rows = np.flatnonzero(whole)
+    lows, highs = np.zeros(len(rows), np.int64), pc.binary_length(text).to_numpy()[rows].astype(np.int64) - length
     # Stretches that occur once may still share strings with others of their anchor.
-    shared = np.flatnonzero(np.bincount(group)[group] > 1)
-    if len(shared):
-        has = np.flatnonzero(text.is_valid().to_numpy(zero_copy_only=False))
-        where = np.full(len(copies), -1)
-        where[kind[has]] = has
-        values = text.take(pa.array(where[shared])).to_pylist()
-        sizes = np.fromiter(map(len, values), np.int64, len(values))
-        begin = np.cumsum(sizes) - sizes
-        n_starts = sizes - length + 1
-        piece = np.repeat(np.arange(len(shared)), n_starts)
-        local = np.arange(n_starts.sum()) - np.repeat(np.cumsum(n_starts) - n_starts, n_starts)
-        data = np.frombuffer(b"".join(values), np.uint8)
-        again = tied(data, begin[piece] + local, group[shared][piece], length)
-        once = copies[shared][piece] == 1
-        hit = again & once
-        edge = np.diff(np.concatenate([[0], (hit).astype(np.int8), [0]]))
-        # Runs do not go on from one stretch into the next.
-        inner = np.flatnonzero(hit[1:] & hit[:-1] & (piece[1:] != piece[:-1])) + 1
-        low = np.sort(np.concatenate([np.flatnonzero(edge == 1), inner]))
-        high = np.sort(np.concatenate([np.flatnonzero(edge == -1), inner])) - 1
-        first_row = np.flatnonzero(new)
-        rows.append(first_row[shared[piece[low]]])
-        lows.append(local[low])
-        highs.append(local[high])
-    return np.concatenate(rows), np.concatenate(lows), np.concatenate(highs)
+    shared = np.flatnonzero(np.bincount(group, minlength=1)[group] > 1) if len(group) else rows[:0]
+    if not len(shared):
+        return rows, lows, highs
+    values = text.take(pa.array(shared)).to_pylist()
+    sizes = np.fromiter(map(len, values), np.int64, len(values))
+    begin = np.cumsum(sizes) - sizes
+    n_starts = sizes - length + 1
+    piece = np.repeat(np.arange(len(shared)), n_starts)
+    local = np.arange(n_starts.sum()) - np.repeat(np.cumsum(n_starts) - n_starts, n_starts)
+    data = np.frombuffer(b"".join(values), np.uint8)
+    hit = tied(data, begin[piece] + local, group[shared][piece], length) & ~whole[shared][piece]
+    edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
+    # Runs do not go on from one stretch into the next.
+    inner = np.flatnonzero(hit[1:] & hit[:-1] & (piece[1:] != piece[:-1])) + 1
+    low = np.sort(np.concatenate([np.flatnonzero(edge == 1), inner]))
+    high = np.sort(np.concatenate([np.flatnonzero(edge == -1), inner])) - 1
+    return np.concatenate([rows, shared[piece[low]]]), np.concatenate([lows, local[low]]), np.concatenate([highs, local[high]])
+
+
+def _distinct(rows: pa.Table) -> pa.Table:
+    """One row for each anchor and content of rows sorted by them: whether it is repeated, and its text."""
+    anchor, content = (rows.column(c).to_numpy() for c in ("anchor", "content"))
+    new = np.ones(len(anchor), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+    kind = np.cumsum(new) - 1
+    whole = np.bincount(kind, 1 + rows.column("whole").to_numpy()) > 1
+    text = rows.column("stretch").combine_chunks()
+    has = np.flatnonzero(text.is_valid().to_numpy(zero_copy_only=False))
+    at = np.zeros(len(whole), np.int64)
+    at[kind[has]] = has
+    first = np.flatnonzero(new)
+    columns = {"anchor": pa.array(anchor[first]), "content": pa.array(content[first]), "whole": pa.array(whole)}
+    return pa.table({**columns, "stretch": text.take(pa.array(at))})
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """anchor, content, low and high of runs of repeated strings, from rows sorted by anchor and content.
+
+    What is held are the distinct stretches of one anchor, or SORT_BYTES of several.
+    """
+
+    def runs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        anchor = rows.column("anchor").to_numpy()
+        row, low, high = repeated_runs(anchor, rows.column("whole").to_numpy(), rows.column("stretch").combine_chunks(), length)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(anchor[row]), pa.array(rows.column("content").to_numpy()[row]), pa.array(low), pa.array(high)],
+            names=["anchor", "content", "low", "high"],
+        )
+
+    kept: list[pa.RecordBatch] = []
+    size, limit = 0, SORT_BYTES
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            kept.append(batch.slice(at, 1024))
+            size += kept[-1].nbytes
+            if size < limit:
+                continue
+            rows = _distinct(pa.Table.from_batches(kept))
+            anchor = rows.column("anchor").to_numpy()
+            done = int(np.searchsorted(anchor, anchor[-1]))
+            if done:
+                yield from runs(rows.slice(0, done))
+            kept = rows.slice(done).combine_chunks().to_batches()
+            size = sum(b.nbytes for b in kept)
+            limit = max(SORT_BYTES, 2 * size)
+    if kept:
+        yield from runs(_distinct(pa.Table.from_batches(kept)))
 
 
 def repeated_strings(
-    documents: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: int = SKETCH_BITS
+    documents: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    bits: int = SKETCH_BITS,
+    hot_stretches: int = HOT_STRETCHES,
 ) -> DataFrame:
     """doc_id, n_bytes, `kept`, the bytes left, and `spans`, the maximal removed runs, for each row.
 
     A byte goes if a string of `length` bytes over it also starts anywhere else, in the
     same text or another; strings never cross texts, overlapping ones count, and they are
-    judged on the input. A null text is empty. Every row counts as a text of its own, so
-    repeated rows remove each other. `kept` is binary: a cut can fall inside a letter.
-    Other columns are not read. `length` is at least 8 more than `gram`.
+    judged on the input. A null text is empty; empty texts and those shorter than a
+    string stay as they are, long ones are read whole. Every row counts as a text of its
+    own, so repeated rows remove each other, and of equal strings none is kept. `kept` is
+    binary: a cut can fall inside a letter. An empty table gives an empty one. Other
+    columns are not read. `length` is at least 8 more than `gram`.
     """
     spark = documents.sparkSession
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_hash"))
@@ -173,115 +259,104 @@ def repeated_strings(
 
     sketch = repeated_cells(docs.select("text"), anchors, bits)
 
+    def repeated(batch: pa.RecordBatch) -> Iterator[tuple[int, Stretches]]:
+        """The stretches whose anchor is estimated repeated."""
+        for base, s in stretches(batch):
+            s.take(np.flatnonzero(estimated_repeated(s.anchor, sketch.value, bits)))
+            yield base, s
+
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, s in stretches(batch):
-                keep = estimated_repeated(s.anchor, sketch.value, bits)
-                token = s.tokens()[keep].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(token)], names=["token"])
-
-    some = docs.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(50)) == 0).select("text")
-    tokens = some.mapInArrow(sample, "token long").orderBy(F.xxhash64("token")).limit(SAMPLE_TOKENS).collect()
-    values = np.sort(np.array([t[0] for t in tokens], np.int64).view(np.uint64))
+            for _, s in repeated(batch):
+                s.take(np.unique(s.content(), return_index=True)[1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s.anchor.view(np.int64)), pa.array(s.tokens().view(np.int64))], names=["anchor", "token"]
+                )
+
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SAMPLE_SHARE)) == 0).select("text")
+    seen = some.mapInArrow(sample, "anchor long, token long")
+    seen = stored(seen.groupBy("anchor").agg(F.min("token").alias("token"), F.count("*").alias("n")))
+    total, n_anchors = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    hot_rows = seen.where(F.col("n") > max(hot_stretches, total // MOST_HOT)).select("anchor").collect()
+    hot = spark.sparkContext.broadcast(np.array([r[0] for r in hot_rows], np.int64).view(np.uint64))
+    by_hash = F.xxhash64("anchor")
+    few = seen.where(below(by_hash, 2 * SAMPLE_TOKENS / max(n_anchors, 1))).select("token", by_hash).collect()
+    values = np.sort(np.array([t for t, _ in sorted(few, key=lambda r: r[1])[:SAMPLE_TOKENS]], np.int64).view(np.uint64))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = partitions * BUCKETS_PER_PARTITION
     splitters = values[np.linspace(0, len(values) - 1, n_buckets + 1).astype(int)[1:-1]] if len(values) else values
     splitters = np.unique(splitters)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each distinct stretch once, and once more without its text if it is there again."""
+        known: dict[int, bool] = {}
         for batch in batches:
-            for base, s in stretches(batch):
-                keep = np.flatnonzero(estimated_repeated(s.anchor, sketch.value, bits))
-                content = s.content()[keep]
-                # Copies of a stretch seen here are repeated for certain. One of them goes to
-                # its bucket for all; the others need no sorting and are dealt out evenly.
-                _, first, kind, copies = np.unique(content, return_index=True, return_inverse=True, return_counts=True)
-                bucket = np.searchsorted(splitters, s.tokens()[keep], side="right").astype(np.int32)
-                spare = np.ones(len(keep), bool)
-                spare[first] = False
-                bucket[spare] = -1 - np.arange(spare.sum()) % SPREAD
-                text: list[bytes | None] = [None] * len(keep)
+            for _, s in repeated(batch):
+                s.split(hot.value, gram)
+                content, first, copies = np.unique(s.content(), return_index=True, return_counts=True)
+                s.take(first)
+                whole = copies > 1
+                before = [known.get(c) for c in content.tolist()]
+                new = np.array([b is None or (not b) for b in before], bool)
+                with_text = np.array([b is None for b in before], bool)
+                whole |= ~with_text
+                keep = np.flatnonzero(new)
+                if len(known) > SENT:
+                    known.clear()
+                known.update(zip(content[keep].tolist(), whole[keep].tolist(), strict=True))
                 raw = s.data.tobytes()
-                for i in first.tolist():
-                    text[i] = raw[s.first[keep[i]] : s.last[keep[i]] + length]
-                at = pa.array(base + s.doc[keep])
+                text = [raw[s.first[i] : s.last[i] + length] if with_text[i] else None for i in keep.tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket),
+                        pa.array(np.searchsorted(splitters, s.tokens()[keep], side="right").astype(np.int32)),
                         pa.array(s.anchor[keep].view(np.int64)),
-                        pa.array(content.view(np.int64)),
-                        batch.column("doc_id").take(at),
-                        batch.column("text_hash").take(at),
-                        pa.array(s.offset[keep]),
-                        pa.array(s.last[keep] - s.first[keep] + 1),
-                        pa.array(copies[kind] > 1),
+                        pa.array(content[keep].view(np.int64)),
+                        pa.array(whole[keep]),
                         pa.array(text, pa.binary()),
                     ],
-                    names=["bucket", "anchor", "content", "doc_id", "text_hash", "offset", "n_starts", "known", "stretch"],
+                    names=["bucket", "anchor", "content", "whole", "stretch"],
                 )
 
-    sent = docs.mapInArrow(
-        send,
-        f"bucket int, anchor long, content long, doc_id {id_type}, text_hash long, offset long, n_starts long, "
-        "known boolean, stretch binary",
+    runs = (
+        docs.select("text")
+        .mapInArrow(send, "bucket int, anchor long, content long, whole boolean, stretch binary")
+        .repartition("bucket")
+        .sortWithinPartitions("anchor", "content")
+        .mapInArrow(lambda batches: sorted_runs(batches, length), "anchor long, content long, low long, high long")
     )
 
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[pa.RecordBatch] = []
-        size = 0
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Where stretches are. Those with copies among the same texts need no join: they get keys of their own."""
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                piece = batch.slice(at, 1024)
-                spare = pc.less(piece.column("bucket"), 0)
-                yield from placed(pa.Table.from_batches([piece.filter(spare)]))
-                piece = piece.filter(pc.invert(spare))
-                if not piece.num_rows:
-                    continue
-                kept.append(piece)
-                size += piece.nbytes
-                if size >= SORT_BYTES:
-                    rows = pa.Table.from_batches(kept)
-                    anchor = rows.column("anchor").to_numpy()
-                    done = int(np.flatnonzero(anchor != anchor[-1])[-1]) + 1 if (anchor != anchor[-1]).any() else 0
-                    if done:
-                        yield from runs(rows.slice(0, done))
-                        kept = rows.slice(done).to_batches()
-                    size = sum(b.nbytes for b in kept)
-        if kept:
-            yield from runs(pa.Table.from_batches(kept))
-
-    def runs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        rows = rows.combine_chunks()
-        row, low, high = repeated_runs(
-            rows.column("anchor").to_numpy(),
-            rows.column("content").to_numpy(),
-            rows.column("n_starts").to_numpy(),
-            rows.column("known").to_numpy(),
-            rows.column("stretch").combine_chunks(),
-            length,
-        )
-        yield from placed(rows, row, low, high)
-
-    def placed(rows: pa.Table, row=None, low=0, high=None) -> Iterator[pa.RecordBatch]:
-        """Runs of these rows as bytes of their texts; by default of each row all of it."""
-        if row is None:
-            row, high = np.arange(rows.num_rows), rows.column("n_starts").to_numpy() - 1
-        offset = rows.column("offset").to_numpy()[row]
-        at = pa.array(row)
-        out = pa.table(
-            {
-                "_id": rows.column("doc_id").take(at),
-                "_hash": rows.column("text_hash").take(at),
-                "low": pa.array(offset + low),
-                "high": pa.array(offset + high + length),
-            }
-        )
-        yield from out.combine_chunks().to_batches()
+            for base, s in repeated(batch):
+                s.split(hot.value, gram)
+                content = s.content()
+                _, kind, copies = np.unique(content, return_inverse=True, return_counts=True)
+                whole = copies[kind] > 1
+                at = pa.array(base + s.doc)
+                anchor = np.where(whole, mix(s.anchor ^ mix(s.first.astype(np.uint64))), s.anchor)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(at),
+                        batch.column("text_hash").take(at),
+                        pa.array(anchor.view(np.int64)),
+                        pa.array(content.view(np.int64)),
+                        pa.array(whole),
+                        pa.array(s.offset),
+                        pa.array(s.last - s.first),
+                    ],
+                    names=["_id", "_hash", "_anchor", "_content", "_whole", "offset", "most"],
+                )
 
-    found = (
-        sent.repartition("bucket")
-        .sortWithinPartitions("anchor", "content")
-        .mapInArrow(sort, f"_id {id_type}, _hash long, low long, high long")
+    placed = docs.mapInArrow(
+        places,
+        f"_id {id_type}, _hash long, _anchor long, _content long, _whole boolean, offset long, most long",
+    )
+    # A passage in many texts is a hot key of `placed` only: adaptive execution splits that side.
+    joined = placed.join(runs, (F.col("_anchor") == F.col("anchor")) & (F.col("_content") == F.col("content")), "left")
+    low, high = (F.when(F.col("_whole"), other).otherwise(F.col(c)) for c, other in (("low", F.lit(0)), ("high", F.col("most"))))
+    found = joined.where(F.col("_whole") | F.col("low").isNotNull()).select(
+        "_id", "_hash", (F.col("offset") + low).alias("low"), (F.col("offset") + high + length).alias("high")
     )
     by_doc = found.groupBy("_id", "_hash").agg(F.collect_list(F.struct("low", "high")).alias("_gone"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))

@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 import xxhash
 from brute import brute_windows
+from pyspark.sql.classic.dataframe import DataFrame
 
+from tarnbeck.llm import suffixes
 from tarnbeck.llm.components import components
 from tarnbeck.llm.simhash import fingerprints, links, near_duplicates
 from tarnbeck.llm.suffixes import repeated_strings
@@ -179,8 +181,12 @@ def digest(rows):
     return Counter((r.doc_id, r.n_bytes, hashlib.sha256(r.kept).hexdigest(), tuple(map(tuple, r.spans))) for r in rows)
 
 
-@pytest.mark.parametrize("bits", [6, 20])
-def test_strings_are_the_brute_force(documents, bits):
+@pytest.mark.parametrize("bits,hot", [(6, 2000), (20, 2000), (6, 0), (20, 0)])
+def test_strings_are_the_brute_force(documents, monkeypatch, bits, hot):
+    """With a sketch far too small, and with every anchor of the sample, here all texts, split."""
+    monkeypatch.setattr(suffixes, "SAMPLE_SHARE", 1)
+    monkeypatch.setattr(suffixes, "HOT_WIDTH", 5)
+    monkeypatch.setattr(suffixes, "SORT_BYTES", 5_000)
     rng = random.Random(bits)
     shared = ["".join(rng.choice("abé ") for _ in range(rng.randint(5, 120))) for _ in range(5)]
     rows = [
@@ -188,7 +194,7 @@ def test_strings_are_the_brute_force(documents, bits):
         for i in range(60)
     ]
     rows += [(100, None), (101, ""), (102, "ab" * 300), (103, "q" * 5_000), (7, rows[7][1]), (None, rows[8][1])]
-    got = repeated_strings(documents(rows), length=20, gram=8, bits=bits).collect()
+    got = repeated_strings(documents(rows), length=20, gram=8, bits=bits, hot_stretches=hot).collect()
     assert digest(got) == Counter(brute_strings(rows, 20))
 
 
@@ -197,3 +203,40 @@ def test_strings_edge_cases(documents, clashing):
     rows = [(1, "x" * 19), (2, "x" * 20), (3, "é" * 15), (3, "é" * 15), (None, None)]
     got = repeated_strings(clashing(rows), length=20, gram=8, bits=8).collect()
     assert digest(got) == Counter(brute_strings(rows, 20))
+
+
+@pytest.mark.parametrize("hot", [2000, 3])
+def test_long_strings_with_hot_passages(documents, monkeypatch, hot):
+    """At the query's length: a passage in a third of the texts, and a phrase too short to go in half of them."""
+    monkeypatch.setattr(suffixes, "SAMPLE_SHARE", 2)
+    rng = random.Random(hot)
+    passage, phrase, near = (" ".join(word(rng) for _ in range(n)) for n in (90, 30, 50))
+    phrase = phrase[:120]
+    rows = []
+    for i in range(240):
+        parts = [" ".join(word(rng) for _ in range(rng.randint(0, 120))) for _ in range(3)]
+        middle = passage if i % 3 == 0 else near[rng.randint(0, 40) :] if i % 3 == 1 else ""
+        rows.append((i, parts[0] + middle + parts[1] + (phrase if i % 2 else "") + parts[2]))
+    assert digest(repeated_strings(documents(rows), bits=22, hot_stretches=hot).collect()) == Counter(brute_strings(rows, 200))
+
+
+def test_each_distinct_stretch_is_sorted_once(spark, documents, monkeypatch):
+    """A passage in a third of the texts: one row of each task for each distinct stretch reaches the sort."""
+    monkeypatch.setattr("tarnbeck.llm.text.CHUNK_BYTES", 3_000)
+    rng = random.Random(3)
+    passage = " ".join(word(rng) for _ in range(100))
+    rows = [(i, " ".join(word(rng) for _ in range(60)) + (passage if i % 3 == 0 else "")) for i in range(300)]
+    sent = []
+    sort = DataFrame.sortWithinPartitions
+
+    def spy(df, *keys):
+        if keys == ("anchor", "content"):
+            sent.append(df.select("content", "stretch").collect())
+        return sort(df, *keys)
+
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", spy)
+    repeated_strings(documents(rows), bits=22).collect()
+    (found,) = sent
+    times = Counter(r.content for r in found)
+    # Three tasks, each of which sends a stretch once, and once more where it meets it again.
+    assert max(times.values()) <= 6 and max(Counter(r.content for r in found if r.stretch is not None).values()) <= 3
