@@ -1,19 +1,21 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are cut into passages and weighted by TF-IDF, with document frequencies
-over all documents. A randomised SVD, whose products Spark sums over the passages, gives
-their latent space. Every document is searched in overlapping windows: those that come
-close to a passage by the cosine there are candidates. Words of many documents have
-no weight there; a passage mostly made of them, as that of an item copied into many
-documents is, is searched for a second time with all its words, by the share of it that a
-window holds, whatever else is in the window. A candidate counts if the longest
-common subsequence of the item's words and the words around the window is most of the
-item, or if it is a good part of it and the item's last words, its answer, are there too.
+Benchmark items are cut into passages at every word and weighted by TF-IDF, with document
+frequencies over all documents. A randomised SVD, whose products Spark sums over the
+passages, gives their latent space. It has far fewer dimensions than passages, so that
+shifted and reworded passages of an item fall together; lengths are taken in the space on
+both sides, so the cosine of a window and a passage with the same words is 1 at any rank.
+
+Documents are searched in overlapping windows, for an item where two of the rarer half of
+its words stand close together: whoever has half of an item's words has some of those. A
+window that is close to a passage of the item by the latent cosine is a candidate. It counts
+if the longest common subsequence of the item's words and the words around the window is
+most of the item, or if it is a good part of it and the item's last words, its answer, are
+there too. Which words are the rarer ones depends on the item only, so an item that is
+copied into much of the corpus is found like any other.
 
 Items are a query set. They are searched for in blocks of bounded size, so what a task
-holds does not grow with the benchmark. A block has a space for every RANK passages: no
-space has more passages than dimensions, so each holds its passages whole and a copy's
-cosine does not depend on how many items there are.
+holds does not grow with the benchmark.
 """
 
 from __future__ import annotations
@@ -34,16 +36,18 @@ from tarnbeck.sources.tables import table
 
 BITS = 18
 RANK, OVERSAMPLE, POWER_STEPS = 256, 16, 2
+#: Items that share a latent space, and words of the items of a block.
+SPACE_ITEMS, BLOCK_WORDS = 256, 100_000
 #: Windows of documents: words, and words from one to the next.
 SCALES = ((16, 8), (48, 16))
-PASSAGE_WORDS = 64
-#: Words of more than this share of the documents have no weight in the cosine.
-COMMON = 0.1
-COSINE = 0.35
+#: Words of a passage, as many as of the smallest windows, or all of a longer stretch of an item.
+PASSAGE_WORDS, STRETCH_WORDS = 16, 64
+#: How close together two of an item's rarer words are to be.
+NEAR_WORDS = 48
+COSINE = 0.45
 SIMILAR = 0.8
 PARAPHRASED = 0.5
 ANSWER_WORDS = 8
-BLOCK_WORDS, BLOCK_PASSAGES = 100_000, 16 * RANK
 SENTENCE = re.compile(rb"[.!?\n]\s*(?=\S)")
 
 
@@ -85,10 +89,9 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64((1 << BITS) - 1)).view(np.int64)
 
 
-def weights(frequencies: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """The IDF of each bucket, above 0, and whether its words are common, as long as there are documents enough to tell."""
-    idf = np.log((total + 1) / (frequencies + 1)) + 0.1
-    return idf, (frequencies > COMMON * total) & (frequencies > 20)
+def weights(frequencies: np.ndarray, total: int) -> np.ndarray:
+    """The IDF of each bucket, above 0."""
+    return np.log((total + 1) / (frequencies + 1)) + 0.1
 
 
 @dataclass
@@ -105,62 +108,82 @@ def item_of(item_id: object, text: bytes) -> Item:
 
 
 def passages_of(item: Item) -> list[np.ndarray]:
-    step = PASSAGE_WORDS // 2
-    starts = range(0, max(len(item.words) - step, 1), step)
-    return [item.words[s : s + PASSAGE_WORDS] for s in starts]
+    """Passages from every word on, so that a copy's windows are among them, and longer stretches."""
+    words = item.words
+    starts = range(max(len(words) - PASSAGE_WORDS, 0) + 1)
+    half = STRETCH_WORDS // 2
+    stretches = range(0, max(len(words) - half, 1), half) if len(words) > PASSAGE_WORDS else range(0)
+    return [words[s : s + PASSAGE_WORDS] for s in starts] + [words[s : s + STRETCH_WORDS] for s in stretches]
+
+
+def rarer_words(item: Item, frequencies: np.ndarray) -> np.ndarray:
+    """The rarer half of the item's different words and two more, by document frequency."""
+    words = np.unique(item.words)
+    order = np.lexsort((words, frequencies[_bucket(words)]))
+    return words[order[: len(words) // 2 + 2]]
 
 
 @dataclass
 class Space:
-    """Latent space of some passages of a block: vocabulary, its vectors, and the passages in it."""
+    """Latent space of the passages of some items: vocabulary, its vectors, and the passages in it."""
 
-    owner: np.ndarray  # item of each passage, by its place in the block
     vocabulary: np.ndarray  # hashes
     place: np.ndarray  # of a bucket, in the vocabulary, or -1
-    vectors: np.ndarray  # vocabulary x rank
-    passages: np.ndarray  # rank x passages, by unit length of the whole passage
-    length: np.ndarray  # of the whole passages
-    idf: np.ndarray
-    by_share: bool  # candidates hold a share of a passage, instead of being close to it
-
-
-def latent_spaces(spark: SparkSession, items: list[Item], idf: np.ndarray, common: np.ndarray) -> list[Space]:
-    """Spaces of at most RANK passages each, which together have all passages of the items."""
-    pieces = [(i, p) for i, item in enumerate(items) for p in passages_of(item) if len(p)]
-    # With half of the words common the others may be too few to find a copy or a paraphrase by.
-    mostly = [(i, p) for i, p in pieces if 2 * common[_bucket(p)].sum() >= len(p)]
-    found = [
-        latent_space(spark, part[a : a + RANK], weight, by_share)
-        for part, weight, by_share in ((pieces, np.where(common, 0.0, idf), False), (mostly, idf, True))
-        for a in range(0, len(part), RANK)
-    ]
-    return [space for space in found if space is not None]
-
-
-def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray, by_share: bool) -> Space | None:
-    """The rank-RANK space of TF-IDF passages, given with their items, by a distributed randomised SVD."""
-    distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p for _, p in pieces)]))
-    distinct = distinct[idf[_bucket(distinct)] > 0]
+    vectors: np.ndarray  # vocabulary x rank, times IDF
+    passages: np.ndarray  # rank x passages, of unit length
+    owner: np.ndarray  # item of each passage, by its place in the block, ascending
+
+
+@dataclass
+class Block:
+    """Items that are searched for together."""
+
+    items: list[Item]
+    rare: np.ndarray  # hashes of rarer words of any item, ascending
+    first: np.ndarray  # where the items of each start in `owner`
+    owner: np.ndarray
+    least: np.ndarray  # how many rarer words of an item are to be near each other
+    spaces: list[Space]
+    space_of: np.ndarray
+
+
+def block_of(spark: SparkSession, items: list[Item], frequencies: np.ndarray, idf: np.ndarray) -> Block | None:
+    rare = [rarer_words(item, frequencies) for item in items]
+    word = np.concatenate(rare)
+    if not len(word):
+        return None
+    owner = np.repeat(np.arange(len(items)), [len(r) for r in rare])
+    order = np.lexsort((owner, word))
+    words, first = np.unique(word[order], return_index=True)
+    spaces, space_of = [], np.zeros(len(items), np.int64)
+    for a in range(0, len(items), SPACE_ITEMS):
+        pieces = [(i, p) for i in range(a, min(a + SPACE_ITEMS, len(items))) for p in passages_of(items[i]) if len(p)]
+        if pieces:
+            space_of[a : a + SPACE_ITEMS] = len(spaces)
+            spaces.append(latent_space(spark, pieces, idf))
+    least = np.array([min(2, len(np.unique(item.words))) for item in items])
+    return Block(items, words, np.append(first, len(word)), owner[order], least, spaces, space_of)
+
+
+def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray) -> Space:
+    """The latent space of TF-IDF passages, given with their items, by a distributed randomised SVD.
+
+    Its rank is RANK at most and three quarters of the number of different passages.
+    """
+    distinct = np.unique(np.concatenate([p for _, p in pieces]))
     # One word for each bucket: which of two that share one is kept does not depend on order.
     bucket, first = np.unique(_bucket(distinct), return_index=True)
     vocabulary = distinct[first]
-    if not len(vocabulary):
-        return None
     place = np.full(1 << BITS, -1)
     place[bucket] = np.arange(len(vocabulary))
-    rows, owner, length = [], [], []
-    for i, words in pieces:
+    rows = []
+    for _, words in pieces:
         at = place[_bucket(words)]
-        at = at[(at >= 0) & (vocabulary[at] == words)]
-        if len(at):
-            column, times = np.unique(at, return_counts=True)
-            value = times * idf[bucket[column]]
-            length.append(np.sqrt(value @ value))
-            rows.append((column, value / length[-1]))
-            owner.append(i)
-    if not rows:
-        return None
-    size = min(RANK + OVERSAMPLE, len(rows), len(vocabulary))
+        column, times = np.unique(at[vocabulary[at] == words], return_counts=True)
+        value = times * idf[bucket[column]]
+        rows.append((column, value / max(np.sqrt(value @ value), 1e-12)))
+    rank = max(1, min(RANK, 3 * len({(c.tobytes(), v.tobytes()) for c, v in rows}) // 4))
+    size = min(rank + OVERSAMPLE, len(rows), len(vocabulary))
     table = spark.createDataFrame(
         pa.table({"column": [c.tolist() for c, _ in rows], "value": [v.tolist() for _, v in rows]})
     ).repartition(min(8, -(-len(rows) // 100)))
@@ -192,13 +215,12 @@ def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf:
     for _ in range(POWER_STEPS):
         basis, _ = np.linalg.qr(product(basis))
     square, turn = np.linalg.eigh(basis.T @ product(basis))
-    keep = np.argsort(-square)[: min(RANK, int((square > 1e-9).sum()))]
+    keep = np.argsort(-square)[: min(rank, int((square > 1e-9).sum()))]
     vectors = basis @ turn[:, keep]
     passages = np.stack([v @ vectors[c] for c, v in rows], axis=1)
-    return Space(
-        np.array(owner), vocabulary, place, vectors.astype(np.float32), passages.astype(np.float32),
-        np.array(length), idf, by_share,
-    )
+    passages /= np.maximum(np.sqrt((passages**2).sum(axis=0)), 1e-12)
+    weighted = (vectors * idf[bucket][:, None]).astype(np.float32)
+    return Space(vocabulary, place, weighted, passages.astype(np.float32), np.array([i for i, _ in pieces]))
 
 
 def common_subsequence(needle: np.ndarray, words: np.ndarray) -> int:
@@ -219,53 +241,75 @@ def common_subsequence(needle: np.ndarray, words: np.ndarray) -> int:
 Candidates = dict[tuple[int, int], dict[tuple[int, int], float]]
 
 
-def add_candidates(found: Candidates, w: Words, hashes: np.ndarray, space: Space) -> None:
-    """All windows that come close to a passage of the space."""
-    bucket = _bucket(hashes)
-    idf = space.idf[bucket]
-    at = space.place[bucket]
-    known = np.flatnonzero(at >= 0)
-    known = known[space.vocabulary[at[known]] == hashes[known]]
-    square = idf * idf
-    all_weight = np.concatenate([[0.0], np.cumsum(square)])
-    own = np.zeros(len(square))
-    own[known] = square[known]
-    own_weight = np.concatenate([[0.0], np.cumsum(own)])
+def near_words(w: Words, hashes: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Items and words, where rarer words of the item stand close together in a text."""
+    place = np.minimum(np.searchsorted(block.rare, hashes), len(block.rare) - 1)
+    at = np.flatnonzero(block.rare[place] == hashes)
+    place = place[at]
+    n = block.first[place + 1] - block.first[place]
+    item = block.owner[np.repeat(block.first[place] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+    word = np.repeat(at, n)
+    order = np.lexsort((word, item))
+    item, word = item[order], word[order]
+    with_next = np.zeros(len(item) + 1, bool)
+    with_next[1:-1] = (item[1:] == item[:-1]) & (w.doc[word[1:]] == w.doc[word[:-1]]) & (word[1:] - word[:-1] <= NEAR_WORDS)
+    keep = with_next[1:] | with_next[:-1] | (block.least[item] < 2)
+    return item[keep], word[keep]
+
+
+def add_candidates(found: Candidates, w: Words, hashes: np.ndarray, block: Block) -> None:
+    """Windows around near words that come close to a passage of their item."""
+    items, at = near_words(w, hashes, block)
+    if not len(items):
+        return
     for width, step in SCALES:
-        n = np.where(w.count > 0, -(-np.maximum(w.count - width, 0) // step) + 1, 0)
-        doc = np.repeat(np.arange(w.n_docs), n)
-        start = w.first[doc] + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * step
-        end = np.minimum(start + width, w.first[doc] + w.count[doc])
-        weight = all_weight[end] - all_weight[start]
-        # The cosine is at most the share of the window's length that the vocabulary has.
-        least = 0.0 if space.by_share else COSINE**2 * weight
-        can = np.flatnonzero(own_weight[end] - own_weight[start] >= np.maximum(least, 1e-9))
-        for part in np.array_split(can, max(1, -(-len(can) // 2000))):
-            low, high = np.searchsorted(known, start[part]), np.searchsorted(known, end[part])
-            if not len(part):
-                continue
-            word = known[np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])]
-            rows = space.vectors[at[word]] * idf[word, None].astype(np.float32)
-            sums = np.add.reduceat(rows, np.cumsum(high - low) - (high - low), axis=0)
-            product = sums @ space.passages
-            cosine = product / np.sqrt(weight[part])[:, None]
-            for i, j in zip(*np.nonzero((product / space.length if space.by_share else cosine) >= COSINE), strict=True):
-                k = part[i]
-                windows = found.setdefault((int(doc[k]), int(space.owner[j])), {})
-                place = int(start[k]), int(end[k])
-                windows[place] = max(windows.get(place, 0.0), float(cosine[i, j]))
-
-
-def found_in(texts: list[bytes], items: list[Item], spaces: list[Space]) -> Iterator[tuple[int, int, float, float, float]]:
+        own = at - w.first[w.doc[at]]
+        most = np.maximum(-(-(w.count[w.doc[at]] - width) // step), 0)
+        low = np.minimum(np.maximum(-(-(own - width + 1) // step), 0), most)
+        n = np.minimum(own // step, most) - low + 1
+        k = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = w.first[np.repeat(w.doc[at], n)] + k * step
+        window, item = np.unique(np.stack([np.repeat(items, n), start]), axis=1)[::-1]
+        doc = w.doc[window]
+        end = np.minimum(window + width, w.first[doc] + w.count[doc])
+        space_of = block.space_of[item]
+        for number, space in enumerate(block.spaces):
+            mine = np.flatnonzero(space_of == number)
+            for part in np.array_split(mine, max(1, -(-len(mine) // 2000))):
+                if len(part):
+                    cosine = latent_cosine(hashes, window[part], end[part], item[part], space)
+                    for k in np.flatnonzero(cosine >= COSINE).tolist():
+                        i = part[k]
+                        windows = found.setdefault((int(doc[i]), int(item[i])), {})
+                        windows[int(window[i]), int(end[i])] = float(cosine[k])
+
+
+def latent_cosine(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, item: np.ndarray, space: Space) -> np.ndarray:
+    """The highest cosine of each window and a passage of its item; items are ascending."""
+    size = end - start
+    word = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+    place = space.place[_bucket(hashes[word])]
+    known = (place >= 0) & (space.vocabulary[place] == hashes[word])
+    rows = space.vectors[place] * known[:, None]
+    sums = np.add.reduceat(rows, np.cumsum(size) - size, axis=0)
+    length = np.sqrt((sums**2).sum(axis=1))
+    out = np.zeros(len(start))
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(item)) + 1, [len(item)]])
+    for a, b in zip(edge, edge[1:], strict=False):
+        mine = slice(*np.searchsorted(space.owner, [item[a], item[a] + 1]))
+        out[a:b] = (sums[a:b] @ space.passages[:, mine]).max(axis=1) / np.maximum(length[a:b], 1e-9)
+    return out
+
+
+def found_in(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, float, float, float]]:
     """Text, item, cosine, share of the item's words and of its answer's, for each item found in a text."""
     w = Words(texts, table=LETTERS)
     hashes = w.hashes()
     near: Candidates = {}
-    for space in spaces:
-        add_candidates(near, w, hashes, space)
+    add_candidates(near, w, hashes, block)
     result: dict[tuple[int, int], tuple[float, float, float]] = {}
     for (doc_i, item_i), windows in near.items():
-        item = items[item_i]
+        item = block.items[item_i]
         reach = len(item.words)
         first, count = w.first[doc_i], w.count[doc_i]
         for (start_i, end_i), cosine_i in sorted(windows.items(), key=lambda x: (-x[1], x[0])):
@@ -285,7 +329,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     `similarity` is the share of the item's words, `answer` that of its last words, in
     order around the place. Words are runs of letters and digits, in lower case. Null
-    and empty texts and items hold nothing and are never found. Rows that repeat are judged each; other columns are not read.
+    and empty texts and items hold nothing and are never found; long texts are searched
+    whole. Items that tie are all found. Rows that repeat are judged each, an empty table
+    of either kind gives an empty one. Other columns are not read.
     """
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text")
@@ -294,21 +340,21 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     to_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
 
     frequencies, total = document_frequencies(docs)
-    idf, common = weights(frequencies, total)
+    idf = weights(frequencies, total)
 
     def search(items: list[Item]) -> DataFrame | None:
-        spaces = latent_spaces(spark, items, idf, common)
-        if not spaces:
+        block = block_of(spark, items, frequencies, idf)
+        if block is None:
             return None
-        known = spark.sparkContext.broadcast((items, spaces))
+        known = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for base, chunk in chunked(text_bytes(batch)):
-                    found = list(found_in(chunk, *known.value))
+                    found = list(found_in(chunk, known.value))
                     if found:
                         doc, item, cosine, share, answer = zip(*found, strict=True)
-                        ids = [known.value[0][i].item_id for i in item]
+                        ids = [known.value.items[i].item_id for i in item]
                         yield pa.RecordBatch.from_arrays(
                             [batch.column("doc_id").take(pa.array([base + d for d in doc])),
                              pa.array(ids, to_arrow), pa.array(cosine), pa.array(share), pa.array(answer)],
@@ -319,16 +365,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     out: list[DataFrame | None] = []
     block: list[Item] = []
-    size = passages = 0
+    size = 0
     rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         item = item_of(row.item_id, row.text.encode())
-        n = len(passages_of(item))
-        if block and (size + len(item.words) > BLOCK_WORDS or passages + n > BLOCK_PASSAGES):
+        if block and size + len(item.words) > BLOCK_WORDS:
             out.append(search(block))
-            block, size, passages = [], 0, 0
+            block, size = [], 0
         block.append(item)
-        size, passages = size + len(item.words), passages + n
+        size += len(item.words)
     if block:
         out.append(search(block))
     found = [rows for rows in out if rows is not None]
