@@ -4,8 +4,10 @@ Two fingerprints at most 3 bits apart are at most 1 bit apart in their upper or
 lower half. In 31 bits of each half the Hamming code of that length is the set of
 anchors: its covering radius is 1, so every fingerprint has exactly one home anchor
 within 1 bit. Each fingerprint is sent to every anchor within 1 + 1 bits (one or 16 of
-them), so of two fingerprints that link each meets the home of the other, and pairs are
-compared at anchors only. Equal fingerprints are one from the start, so copies cost nothing.
+them) that is a home, so of two fingerprints that link each meets the home of the other,
+and pairs are compared at anchors only. Equal fingerprints are one from the start, so
+copies cost nothing. An anchor of many fingerprints is compared as a grid: a block of its
+home rows with a block of all its rows in each cell.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ SEED = 42
 BITS_APART = 3
 #: Bits of a half that the code covers, and the checks of a word of that length.
 CODE_BITS, CHECKS = 31, 5
-#: Rows of an anchor that one task compares; larger anchors are split, with their home rows in every part.
+#: Rows of an anchor that are compared at a time; in larger anchors as many home rows with as many rows.
 ANCHOR_ROWS = 50_000
 #: Anchors of up to so many rows are compared row against row, larger ones by spreading links.
 FEW = 8
@@ -136,17 +138,36 @@ def links_of(cell: np.ndarray, fp: np.ndarray, home: np.ndarray) -> tuple[np.nda
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
+def _cells_of(sent: DataFrame) -> DataFrame:
+    """(anchor, part, fp, home): large anchors in a grid of home blocks and row blocks, others in one part."""
+    sizes = sent.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("homes"))
+    large = stored(sizes.where(F.col("n") > ANCHOR_ROWS))
+    if large.isEmpty():
+        return sent.select("anchor", F.lit(0).cast("long").alias("part"), "fp", "home")
+    size = F.lit(ANCHOR_ROWS)
+    large = large.select("anchor", F.ceil(F.col("n") / size).alias("rows"), F.ceil(F.col("homes") / size).alias("blocks"))
+    sent = sent.join(large, "anchor", "left")
+    row, block = (F.pmod(F.xxhash64("fp", F.lit(i)), F.col(c)) for i, c in enumerate(("rows", "blocks")))
+
+    def every(c: str) -> Column:
+        return F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+
+    small = sent.where(F.col("rows").isNull()).select("anchor", F.lit(0).cast("long").alias("part"), "fp", "home")
+    split = sent.where(F.col("rows").isNotNull())
+    as_home = split.where("home").select("anchor", F.explode(F.transform(every("rows"), lambda j: block * F.col("rows") + j)).alias("part"), "fp", "home")
+    as_row = split.select(
+        "anchor", F.explode(F.transform(every("blocks"), lambda i: i * F.col("rows") + row)).alias("part"), "fp", F.lit(False).alias("home")
+    )
+    return small.unionByName(as_home).unionByName(as_row)
+
+
 def links(fps: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that join all that link."""
-    sent = at_anchors(fps)
-    large = stored(sent.groupBy("anchor").count().where(F.col("count") > ANCHOR_ROWS))
-    if large.isEmpty():
-        sent = sent.withColumn("part", F.lit(0))
-    else:
-        parts = F.coalesce(F.ceil(F.col("count") / ANCHOR_ROWS).cast("int"), F.lit(1))
-        mine = F.pmod(F.xxhash64("fp"), parts).cast("int")
-        every = F.when(F.col("home"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(mine))
-        sent = sent.join(large, "anchor", "left").select("anchor", "fp", "home", F.explode(every).alias("part"))
+    # A few megabytes of fingerprints become many rows, so they are dealt out before.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = at_anchors(fps.repartition(tasks, "fp"))
+    homes = every.where("home").select("anchor").distinct()
+    cells = _cells_of(stored(every.join(homes, "anchor", "left_semi")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.RecordBatch] = []
@@ -162,7 +183,7 @@ def links(fps: DataFrame) -> DataFrame:
         if kept:
             yield from _compared(pa.Table.from_batches(kept))
 
-    cells = sent.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    cells = cells.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
     return cells.mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -187,9 +208,10 @@ def _compared(rows: pa.Table) -> Iterator[pa.RecordBatch]:
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id of the documents linked with it, for each row.
 
-    Null, empty and blank texts have fingerprint zero and link like any other. Rows that
-    repeat a doc_id are all returned. A null doc_id is never the smallest unless no other is there.
-    Other columns are not read.
+    Null, empty and blank texts have fingerprint zero and link like any other; long texts
+    are read whole. Rows that repeat a doc_id are all returned. A null doc_id is never the
+    smallest unless no other is there. An empty table gives an empty one. Other columns
+    are not read.
     """
     docs = stored(fingerprints(documents))
     distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("first"))

@@ -10,9 +10,9 @@ import xxhash
 from brute import brute_windows
 from pyspark.sql.classic.dataframe import DataFrame
 
-from tarnbeck.llm import suffixes
+from tarnbeck.llm import simhash, suffixes
 from tarnbeck.llm.components import components
-from tarnbeck.llm.simhash import fingerprints, links, near_duplicates
+from tarnbeck.llm.simhash import links, near_duplicates, op8_simhash
 from tarnbeck.llm.suffixes import repeated_strings
 from tarnbeck.llm.windows import repeated_windows
 
@@ -99,12 +99,44 @@ def test_links_find_all_pairs_within_three_bits(spark, monkeypatch, limit):
     assert len(set(got)) == len(set(want))
 
 
+def test_an_anchor_of_many_homes_is_compared_in_bounded_cells(spark, monkeypatch):
+    """Most fingerprints have one home anchor: each cell of its grid is bounded, and together they find all links."""
+    monkeypatch.setattr(simhash, "ANCHOR_ROWS", 20)
+    rng = random.Random(6)
+    # In the upper half at most one bit from the code word 0, so that it is the home of all.
+    fps = {(1 << rng.randrange(32, 63) if rng.random() < 0.8 else 0) | rng.getrandbits(32) & 0x0F0F0F for _ in range(400)}
+    fps |= {1 << rng.randrange(32, 63) | 1 << rng.randrange(32, 63) for _ in range(100)}
+    fps = sorted(fps)
+    sizes = []
+    cells = simhash._cells_of
+
+    def spy(sent):
+        out = cells(sent)
+        sizes.extend(r["count"] for r in out.groupBy("anchor", "part", "home").count().collect())
+        return out
+
+    monkeypatch.setattr(simhash, "_cells_of", spy)
+    edges = links(spark.createDataFrame([(f,) for f in fps], "fp long").repartition(4))
+    root = {r.node: r.root for r in components(edges).collect()}
+    want = brute_components(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+    assert [fps.index(root.get(f, f)) for f in fps] == want
+    # Blocks are dealt by a hash, so they differ somewhat in size.
+    assert len(sizes) > 100 and max(sizes) <= 3 * 20
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i + 1, i) if i % 2 else (i, i + 1) for i in range(300)] + [(500, 501), (7, 7), (None, 3)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == {**{i: 0 for i in range(301)}, 500: 500, 501: 500}
 
 
+def test_fingerprints_of_the_query_are_hex_digits(spark):
+    small = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    got = {r.doc_id: r.fingerprint for r in op8_simhash(spark, small).collect()}
+    assert got == {i: f"{brute_fingerprint(t):016x}" for i, t in texts.items()}
+
+
 def test_simhash_edge_cases(documents, clashing):
     assert near_duplicates(documents([])).collect() == []
     rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (None, None), (9, None), (2, "A B\tC  D")]
