@@ -7,9 +7,10 @@ source less than one block from its share at every slot.
 
 Weights are whole numbers out of a period. Unless one is given it grows with the slots
 and the sources, so that rounding moves no source by more than 1/FINE of a block over all
-slots. The order is worked out slot by slot on the driver, one slot for BLOCK_DOCS rows,
-and is handed over in pieces of PIECE_SLOTS: its time grows with the data, its memory with
-the sources only.
+slots. The order of blocks is worked out on the driver. A block has LEAST_DOCS rows, or
+more in a table of over LEAST_DOCS * MOST_SLOTS rows, so that there are never more than
+MOST_SLOTS blocks and one for each source: the driver's time and memory grow with the
+sources, not with the rows. All work on rows is DataFrame functions.
 When a source has no blocks left, its weight is shared out and a new schedule begins.
 Nothing is dropped or repeated.
 """
@@ -18,21 +19,16 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
-from functools import reduce
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.store import stored
 from tarnbeck.sources.tables import table
 
-BLOCK_DOCS = 16
+LEAST_DOCS = 16
 FINE = 1000
-#: Slots that the driver holds at a time.
-PIECE_SLOTS = 250_000
+MOST_SLOTS = 250_000
 #: Rows that one task orders at a time.
 BUCKET_ROWS = 20_000
 ADDED = ("mix_block", "mix_slot", "mix_release", "mix_deadline", "mix_position")
@@ -55,60 +51,13 @@ def quotas(weights: Mapping[str | None, float], period: int) -> dict[str | None,
     return found
 
 
-def one_period(quota: Mapping[str | None, int], period: int) -> dict[str | None, list[int]]:
-    """The slots of each source by earliest deadline first; quotas sum to the period."""
-    order = list(quota)
-    waiting = [(0, i, 0) for i in range(len(order))]  # release, source, block
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []  # deadline, source, block
-    slots: dict[str | None, list[int]] = {s: [] for s in order}
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * period // quota[order[i]]), i, k))
-        _, i, k = heapq.heappop(ready)
-        slots[order[i]].append(slot)
-        if k + 1 < quota[order[i]]:
-            heapq.heappush(waiting, ((k + 1) * period // quota[order[i]], i, k + 1))
-    return slots
-
-
-@dataclass
-class Phase:
-    """From `start` on, while the same sources have blocks left."""
-
-    start: int
-    quota: dict[str | None, int]
-    slots: dict[str | None, list[int]]
-    first_block: dict[str | None, int]
-
-
-def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int) -> list[Phase]:
-    """One phase for each set of sources that still have blocks."""
-    left = {s: n for s, n in blocks.items() if n}
-    done = dict.fromkeys(left, 0)
-    found, start = [], 0
-    while left:
-        mine = {s: weights[s] for s in left}
-        quota = quotas(mine if sum(mine.values()) > 0 else dict.fromkeys(left, 1.0), period)
-        slots = one_period(quota, period)
-        found.append(Phase(start, quota, slots, {s: done[s] for s in left}))
-        # The first slot that some source could not fill ends the phase.
-        length = min(left[s] // quota[s] * period + slots[s][left[s] % quota[s]] for s in left)
-        for s in list(left):
-            used = length // period * quota[s] + sum(slot < length % period for slot in slots[s])
-            done[s] += used
-            left[s] -= used
-            if not left[s]:
-                del left[s]
-        start += length
-    return found
-
-
 def schedule(
     blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int | None = None
 ) -> Iterator[tuple[str | None, int, int, int, int]]:
-    """Source, block, slot, release and deadline of every block, by slot; the phases are those of `phases`."""
+    """Source, block, slot, release and deadline of every block, by slot.
+
+    A phase lasts as long as the same sources have blocks left.
+    """
     done = {s: 0 for s, n in blocks.items() if n}
     slot = 0
     while done:
@@ -135,21 +84,17 @@ def schedule(
 
 
 def _slots(spark: SparkSession, rows: Iterator[tuple]) -> DataFrame:
-    """The schedule as a table; more than one piece is stored."""
+    """The schedule as a table."""
     names = ("_mix_source", "_mix_block", "mix_slot", "mix_release", "mix_deadline")
     types = pa.schema([(names[0], pa.string()), *((n, pa.int64()) for n in names[1:])])
-    pieces: list[DataFrame] = []
-    while (piece := list(islice(rows, PIECE_SLOTS))) or not pieces:
-        columns = list(zip(*piece, strict=True)) or [[]] * len(names)
-        found = spark.createDataFrame(pa.table(dict(zip(names, columns, strict=True)), types))
-        pieces.append(stored(found) if len(piece) == PIECE_SLOTS else found)
-    return reduce(DataFrame.unionByName, pieces)
+    columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return spark.createDataFrame(pa.table(dict(zip(names, columns, strict=True)), types))
 
 
 def mix(
     documents: DataFrame,
     weights: Mapping[str | None, float] | None = None,
-    block_docs: int = BLOCK_DOCS,
+    block_docs: int | None = None,
     period: int | None = None,
 ) -> DataFrame:
     """All rows and columns of `documents`, with where each stands in the mixture.
@@ -157,17 +102,21 @@ def mix(
     `weights` gives each source's target; by default the square root of its rows. A
     source without one counts as weight 0. If a `period` is given, weights are rounded to
     parts of it, at least one for each source, so there may be at most as many sources. A
-    null source is a source of its own. Counts by source are all that the driver sees. Added columns (an older column of that name
-    or one that starts with `_mix_` goes): mix_block, the block's number in its source; mix_slot; mix_release and
-    mix_deadline, the slots from which and before which it is due; mix_position, by
-    which to sort. A last block may be short, so positions can have gaps. Order within
-    a source is by a hash of doc_id; repeated rows all stay, next to each other. An
-    empty table gives an empty one.
+    null source is a source of its own. Counts by source are all that the driver sees. A
+    block has `block_docs` rows; by default as many as MOST_SLOTS says. Added columns (an
+    older column of that name or one that starts with `_mix_` goes): mix_block, the
+    block's number in its source; mix_slot; mix_release and mix_deadline, the slots from
+    which and before which it is due; mix_position, by which to sort. A last block may be
+    short, so positions can have gaps. Order within a source is by a hash of doc_id;
+    repeated rows all stay, next to each other. Texts, null, empty or long, are only
+    carried. Deadlines that tie go to the null source, then by name. An empty table gives
+    an empty one.
     """
     spark = documents.sparkSession
     documents = documents.drop(*ADDED, *(c for c in documents.columns if c.startswith("_mix_")))
     counts = {r[0]: r[1] for r in documents.groupBy("source").count().collect()}
     target = weights if weights is not None else {s: n**0.5 for s, n in counts.items()}
+    block_docs = block_docs or max(LEAST_DOCS, -(-sum(counts.values()) // MOST_SLOTS))
     blocks = {s: -(-n // block_docs) for s, n in counts.items()}
     slots = _slots(spark, schedule(blocks, {s: target.get(s, 0.0) for s in counts}, period))
 

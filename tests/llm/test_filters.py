@@ -5,13 +5,13 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from brute import brute_windows
+from brute import brute_windows, phases
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tarnbeck.llm.decontaminate import common_subsequence, contaminated, op5_decontaminate
 from tarnbeck.llm.language import op1_language
-from tarnbeck.llm.mixing import mix, one_period, op3_mixing, phases, quotas
+from tarnbeck.llm.mixing import mix, op3_mixing, quotas, schedule
 from tarnbeck.llm.simhash import near_duplicates
 from tarnbeck.llm.urls import RULES, boost, filter_urls, op4_urls, with_features
 
@@ -87,20 +87,45 @@ def test_trees_learn_what_the_features_show(spark):
 
 @pytest.mark.parametrize("seed", range(20))
 def test_schedule_stays_within_one_block(seed):
+    """Each block in its window, each source within a block of its share, and each phase as the plain version has it."""
     rng = random.Random(seed)
     n, period = rng.randint(1, 12), rng.choice([12, 60, 1000])
-    quota = quotas({str(i): rng.choice([0, 1, rng.random(), 100 * rng.random()]) + 0.01 for i in range(n)}, period)
-    assert sum(quota.values()) == period and min(quota.values()) >= 1
-    slots = one_period(quota, period)
-    assert sorted(x for s in slots.values() for x in s) == list(range(period))
-    for s, q in quota.items():
-        done = 0
-        for slot in range(period):
-            if done < len(slots[s]) and slots[s][done] == slot:
-                assert done * period // q <= slot < -(-(done + 1) * period // q)
-                done += 1
-            assert abs(done - (slot + 1) * q / period) < 1
-        assert done == q
+    weights = {str(i): rng.choice([0, 1, rng.random(), 100 * rng.random()]) + 0.01 for i in range(n)}
+    blocks = {s: rng.randint(0, 200) for s in weights}
+    found = list(schedule(blocks, weights, period))
+    assert [slot for _, _, slot, _, _ in found] == list(range(sum(blocks.values())))
+    assert all(release <= slot < deadline for _, _, slot, release, deadline in found)
+    plan = phases(blocks, weights, period)
+    for i, phase in enumerate(plan):
+        end = plan[i + 1].start if i + 1 < len(plan) else len(found)
+        done = Counter()
+        for slot in range(phase.start, end):
+            source, block = found[slot][:2]
+            assert block == phase.first_block[source] + done[source]
+            assert phase.slots[source][done[source] % phase.quota[source]] == (slot - phase.start) % period
+            done[source] += 1
+            for s, q in phase.quota.items():
+                assert abs(done[s] - (slot + 1 - phase.start) * q / period) < 1
+
+
+def test_quotas_sum_to_the_period():
+    assert sum(quotas({"a": 0.0, "b": 5.0, "c": 1e-9}, 10).values()) == 10
+    assert min(quotas({"a": 0.0, "b": 5.0, "c": 1e-9}, 10).values()) == 1
+
+
+@pytest.mark.parametrize("rows", [300, 3000])
+def test_blocks_of_a_large_table_are_no_more(documents, monkeypatch, rows):
+    """With ten times the rows the driver has as many blocks to order, within the same bound of a block."""
+    monkeypatch.setattr("tarnbeck.llm.mixing.MOST_SLOTS", 20)
+    monkeypatch.setattr("tarnbeck.llm.mixing.LEAST_DOCS", 1)
+    got = mix(documents([(i, "t", "en", "abc"[i % 3]) for i in range(rows)])).collect()
+    assert sorted(r.doc_id for r in got) == list(range(rows))
+    assert len({r.mix_slot for r in got}) <= 20 + 3
+    order = [r.source for r in sorted(got, key=lambda r: r.mix_position)]
+    done = Counter()
+    for i, source in enumerate(order, 1):
+        done[source] += 1
+        assert all(abs(done[s] - i / 3) < -(-rows // 20) for s in "abc")
 
 
 def check_mixture(rows, counts, weights, block_docs, period):
@@ -163,8 +188,7 @@ def test_mixture_keeps_to_the_given_weights(documents):
     assert slot > 5000
 
 
-def test_mixture_of_more_than_a_thousand_sources(documents, monkeypatch):
-    monkeypatch.setattr("tarnbeck.llm.mixing.PIECE_SLOTS", 500, raising=False)
+def test_mixture_of_more_than_a_thousand_sources(documents):
     rows = [(i, "t", "en", f"site{i % 1001}") for i in range(1500)]
     got = mix(documents(rows), block_docs=1).collect()
     assert sorted(r.doc_id for r in got) == list(range(1500))
