@@ -82,3 +82,18 @@ def sample_per_label(texts: DataFrame, label: str, per_label: int, labels: DataF
     found = labelled_texts(texts, ids, label, labels is None).groupBy("doc_id", label).agg(one.alias("text"))
     rows = found.select("doc_id", "text", label, _key().alias("key")).collect()
     return sorted(rows, key=lambda r: (r[label], r.key, r.doc_id))
+
+
+def first_rows(rows: DataFrame, key: Column, n: int, total: int | None = None) -> DataFrame:
+    """The `n` rows with the smallest 64-bit hash `key`, all of them where there are no more.
+
+    Tasks leave out the rows that are surely beyond before any are sent to the one that picks.
+    """
+    total = rows.count() if total is None else total
+    share = SPARE * n / max(total, 1)
+    while share < 1:
+        near = rows.where(below(key, share))
+        if near.count() >= n:
+            return near.orderBy(key).limit(n)
+        share *= 4  # many rows with the same key
+    return rows.orderBy(key).limit(n)

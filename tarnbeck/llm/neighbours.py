@@ -3,7 +3,8 @@
 The neighbour graph of a bounded sample is cut into parts of equal size with few edges
 between them. A small neural classifier learns to tell a vector's part. Every vector
 goes to the part it is most likely in; a query goes to several of its most probable
-parts, where it is compared with every vector in double precision.
+parts, where it is compared with every vector in double precision. How many is measured:
+as many as bring held-out rows of the sample to TARGET of their nearest in the sample.
 
 Parts are split into blocks of bounded size by a hash, so a part, or one vector with
 many copies, is never one task's work.
@@ -11,7 +12,6 @@ many copies, is never one task's work.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tarnbeck.llm.labelled import first_rows
 from tarnbeck.sources.tables import table
 
 NEAREST = 20
@@ -26,9 +27,10 @@ SAMPLE = 4096
 NEIGHBOURS = 10
 #: Vectors for each part, and the bounds of the number of parts, a power of two.
 PART_ROWS, LEAST_PARTS, MOST_PARTS = 4000, 32, 256
-#: The share of the parts that a query looks into. Vectors without clusters need most of
-#: them for a recall of 0.9; where there are clusters far fewer do.
-PROBED = 0.85
+#: The recall that the number of parts a query looks into is chosen for, over the HELD_OUT
+#: nearest of a quarter of the sample. Vectors without clusters need most of the parts.
+TARGET = 0.93
+HELD_OUT = 10
 HIDDEN = 128
 STEPS = 100
 #: How much of a row's training target is its own part; the rest is where its neighbours are.
@@ -132,6 +134,29 @@ def parts_by_probability(x: np.ndarray, model: list[np.ndarray], n: int) -> np.n
     return np.argsort(-logits, axis=1, kind="stable")[:, :n]
 
 
+def fit(x: np.ndarray, levels: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """A classifier of 2**levels parts, and the recall of held-out rows when 1, 2, ... parts are looked into.
+
+    The model is fitted on three quarters of the rows, so that the recall is that of rows it has not seen.
+    """
+    n_parts = 1 << levels
+    known = x[np.arange(len(x)) % 4 != 0] if levels else x
+    graph = neighbour_graph(known, min(2 * NEIGHBOURS, len(known) - 1))
+    part = balanced_parts(graph, levels) if levels else np.zeros(len(known), np.int64)
+    model = train(known, part, graph, n_parts)
+    if not levels:
+        return model, np.ones(1)
+    asked = np.flatnonzero(np.arange(len(x)) % 4 == 0)
+    ranking = parts_by_probability(x[asked], model, n_parts)
+    home = parts_by_probability(x, model, 1)[:, 0]
+    product = x[asked] @ x.T
+    product[np.arange(len(asked)), asked] = -np.inf
+    near = np.argpartition(-product, min(HELD_OUT, len(x) - 1) - 1, axis=1)[:, :HELD_OUT]
+    place = np.argsort(ranking, axis=1)
+    rank = np.take_along_axis(place, home[near], axis=1)
+    return model, np.cumsum(np.bincount(rank.ravel(), minlength=n_parts)) / rank.size
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -185,7 +210,9 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: n
     return tuple(np.concatenate(c) for c in zip(none, *out, strict=True))
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, sample: int = SAMPLE) -> DataFrame:
+def search(
+    vectors: DataFrame, is_query: Column, k: int = NEAREST, sample: int = SAMPLE, probes: int | None = None
+) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest found of each query row among all other rows.
 
     Nearest is the largest inner product, ties to the smaller vec_id. Rows take part
@@ -195,7 +222,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, sample: int =
     that repeat a query's vector too are one query. With
     fewer than k candidates all those found are returned; empty tables give none. The
     index is fitted on at most `sample` rows, the first by a hash of the id; all rows
-    are indexed. Other columns are not read.
+    are indexed. A query looks into `probes` parts, by default as many as TARGET says.
+    Other columns are not read.
     """
     spark = vectors.sparkSession
     rows = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
@@ -207,15 +235,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, sample: int =
         return spark.createDataFrame([], schema)
     width, total = common
     rows = rows.where(F.size("embedding") == width)
-    taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").toArrow()
+    taken = first_rows(rows, F.xxhash64("vec_id"), sample, total).select("embedding").toArrow()
     x = np.unique(_matrix(taken.column("embedding"), width), axis=0)
+    x = x[np.random.default_rng(4).permutation(len(x))]
     levels = max(0, int(np.log2(min(MOST_PARTS, max(LEAST_PARTS, total // PART_ROWS)))))
     levels = min(levels, int(np.log2(max(len(x) // (4 * NEIGHBOURS), 1))))
     n_parts = 1 << levels
-    graph = neighbour_graph(x, min(2 * NEIGHBOURS, len(x) - 1))
-    part = balanced_parts(graph, levels) if levels else np.zeros(len(x), np.int64)
-    model = spark.sparkContext.broadcast(train(x, part, graph, n_parts))
-    probes = min(n_parts, math.ceil(PROBED * n_parts))
+    fitted, recall = fit(x, levels)
+    model = spark.sparkContext.broadcast(fitted)
+    probes = probes or min(int(np.searchsorted(recall, TARGET)) + 1, n_parts)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

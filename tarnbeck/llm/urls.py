@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnbeck.llm.labelled import first_rows
 from tarnbeck.llm.store import stored
 from tarnbeck.llm.text import fold
 from tarnbeck.sources.tables import table
@@ -26,6 +27,8 @@ DEPTH = 3
 BINS = 16
 RATE = 0.3
 PENALTY = 1.0
+#: Parts that labelled URLs fall into; a row's suffix statistics leave out the labels of its own part.
+FOLDS = 4
 #: Gradients are summed as whole numbers of this unit, so that sums do not depend on their order.
 UNIT = 1 << 20
 
@@ -112,19 +115,23 @@ FEATURES = [*LEXICAL, *(f"{s}_{k}" for s in SUFFIXES for k in ("count", "blocked
 
 def with_features(urls: DataFrame) -> DataFrame:
     """Adds FEATURES as doubles to rows of url (not null), host, path and label (1 blocked, 0 allowed or null)."""
+    fold = F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")
     out = urls
     for name, n in SUFFIXES.items():
         # Counted over all rows; each task sends one row per suffix, so a common one is not hot.
-        stats = (
-            urls.groupBy(_last_labels(F.col("host"), n).alias(name))
-            .agg(F.count("*").alias("n"), F.count("label").alias("k"), F.sum("label").alias("b"))
-            .select(
-                name,
-                F.log2(F.col("n") + 1.0).alias(f"{name}_count"),
-                ((F.coalesce("b", F.lit(0)) + 1.0) / (F.col("k") + 2.0)).alias(f"{name}_blocked"),
-            )
+        by_fold = [(F.count(F.when(fold == i, F.col("label"))), F.sum(F.when(fold == i, F.col("label")).otherwise(0))) for i in range(FOLDS)]
+        stats = urls.groupBy(_last_labels(F.col("host"), n).alias(name)).agg(
+            F.log2(F.count("*") + 1.0).alias(f"{name}_count"),
+            F.count("label").alias("_k"),
+            F.sum(F.coalesce("label", F.lit(0))).alias("_b"),
+            F.array(*(k for k, _ in by_fold)).alias("_k_fold"),
+            F.array(*(b for _, b in by_fold)).alias("_b_fold"),
         )
-        out = out.withColumn(name, _last_labels(F.col("host"), n)).join(stats, name, "left").drop(name)
+        # A label says nothing about itself, nor about rows of the same URL.
+        own_k, own_b = (F.when(F.col("label").isNotNull(), F.get(c, fold)).otherwise(0) for c in ("_k_fold", "_b_fold"))
+        blocked = (F.col("_b") - own_b + 1.0) / (F.col("_k") - own_k + 2.0)
+        out = out.withColumn(name, _last_labels(F.col("host"), n)).join(stats, name, "left")
+        out = out.withColumn(f"{name}_blocked", blocked).drop(name, "_k", "_b", "_k_fold", "_b_fold")
     made = {k: f(F.col("url"), F.col("host"), F.col("path")).cast("double") for k, f in LEXICAL.items()}
     return out.withColumns(made)
 
@@ -228,8 +235,9 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, sample: int = S
     that a rule fits are the labelled ones; at most `sample` of them, the first by a
     hash, teach the trees, which judge the rest: `block` where the score, the
     probability of being blocked, is at least 0.5. A null url is judged as an empty
-    one. Without labelled URLs, or with one label only, the score is that prior.
-    Repeated rows are judged each; other columns are not read.
+    one, a long one whole; of rules of one length the last by text is taken. Without
+    labelled URLs, or with one label only, the score is that prior. Repeated rows are
+    judged each, an empty table gives an empty one. Other columns are not read.
     """
     url = F.coalesce("url", F.lit(""))
     urls = pages.select("page_id", url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -239,8 +247,9 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, sample: int = S
     )
     described = with_features(urls)
     labelled = described.where(F.col("label").isNotNull())
-    order = (F.xxhash64("url", "page_id"), F.col("url"), F.col("page_id"))
-    trees = boost(stored(labelled.orderBy(*order).limit(sample).select("label", *FEATURES)))
+    key = F.xxhash64("url", "page_id")
+    n_labelled = urls.where(F.col("label").isNotNull()).count()
+    trees = boost(stored(first_rows(labelled, key, sample, n_labelled).select("label", *FEATURES)))
     score = 1 / (1 + F.exp(-reduce(lambda a, b: a + b, map(_score, trees))))
     judged = described.withColumn("score", score)
     by_method = F.when(F.col("score") >= 0.5, "block").otherwise("allow")

@@ -9,7 +9,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 
 from tarnbeck.llm.labelled import sample_per_label
 from tarnbeck.llm.language import identify_language, marginals, op1_language
-from tarnbeck.llm.neighbours import balanced_parts, nearest, neighbour_graph, op2_neighbours, search
+from tarnbeck.llm.neighbours import TARGET, balanced_parts, fit, nearest, neighbour_graph, op2_neighbours, parts_by_probability, search
 from tarnbeck.llm.quality import op7_quality, quality
 from tarnbeck.llm.toxicity import op9_toxicity, toxicity
 
@@ -198,7 +198,7 @@ def test_neighbours_with_copies_ties_and_odd_vectors(spark, monkeypatch, limits)
     """A vector with many copies, and blocks far smaller than its copies."""
     monkeypatch.setattr("tarnbeck.llm.neighbours.BLOCK_ROWS", limits[0])
     monkeypatch.setattr("tarnbeck.llm.neighbours.QUERY_ROWS", limits[1])
-    monkeypatch.setattr("tarnbeck.llm.neighbours.PROBED", 1.0)
+    monkeypatch.setattr("tarnbeck.llm.neighbours.TARGET", 1.1)
     rng = random.Random(2)
     good = [(i, [float(rng.randint(-2, 2)) for _ in range(5)] + [1.0]) for i in range(500)]
     good += [(i, [1.0, 2.0, 0.0, -1.0, 1.0, 1.0]) for i in range(500, 700)]
@@ -212,7 +212,7 @@ def test_neighbours_with_copies_ties_and_odd_vectors(spark, monkeypatch, limits)
 
 def test_neighbours_with_repeated_ids_among_copies(spark, monkeypatch):
     """The query's id is there several times, in a group of copies and with other vectors."""
-    monkeypatch.setattr("tarnbeck.llm.neighbours.PROBED", 1.0)
+    monkeypatch.setattr("tarnbeck.llm.neighbours.TARGET", 1.1)
     rng = random.Random(3)
     copy, far = [1.0, 2.0, 0.0, -1.0], [0.5, 0.5, 0.0, 0.0]
     rows = [(20, copy)] * 3 + [(i, copy) for i in range(21, 28)] + [(31, copy)] * 2
@@ -234,6 +234,25 @@ def test_neighbours_of_few_or_no_vectors(spark):
     assert found([(0, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [3.0, 4.0])]) == [(0, 1, 1, 11.0), (0, 2, 2, 11.0)]
 
 
+def test_clustered_vectors_need_few_parts():
+    """Recall over 0.9 with a quarter of the parts or fewer, as the fit itself foresees."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 24)) * 2
+    x = centres[rng.integers(0, 60, 12_000)] + 0.4 * rng.normal(size=(12_000, 24))
+    model, recall = fit(x[:4096], 5)
+    probes = int(np.searchsorted(recall, TARGET)) + 1
+    assert probes <= 8
+    home = parts_by_probability(x, model, 1)[:, 0]
+    queries = np.arange(5000, 12_000, 20)
+    ranking = parts_by_probability(x[queries], model, probes)
+    hits = []
+    for q, parts in zip(queries, ranking, strict=True):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits.append(np.isin(home[np.argsort(-score)[:20]], parts).mean())
+    assert np.mean(hits) > 0.9
+
+
 def test_parts_are_balanced_and_follow_clusters():
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(4, 16)) * 5
