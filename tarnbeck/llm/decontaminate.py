@@ -6,12 +6,12 @@ passages, gives their latent space. It has far fewer dimensions than passages, s
 shifted and reworded passages of an item fall together; lengths are taken in the space on
 both sides, so the cosine of a window and a passage with the same words is 1 at any rank.
 
-Documents are searched in overlapping windows, for an item where two of the rarer half of
-its words stand close together: whoever has half of an item's words has some of those. A
-window that is close to a passage of the item by the latent cosine is a candidate. It counts
+Documents are searched in overlapping windows, for an item where several of its rarer
+words stand close together: of half of an item's different words and n more, whoever has
+half of the item's words has n at least. A window there that is close to a passage of the item by the latent cosine is a candidate. It counts
 if the longest common subsequence of the item's words and the words around the window is
-most of the item, or if it is a good part of it and the item's last words, its answer, are
-there too. Which words are the rarer ones depends on the item only, so an item that is
+most of the item, or if it is a good part of it, by words and by their weight, and the
+item's last words, its answer, are there too. Which words are the rarer ones depends on the item only, so an item that is
 copied into much of the corpus is found like any other.
 
 Items are a query set. They are searched for in blocks of bounded size, so what a task
@@ -35,18 +35,19 @@ from tarnbeck.llm.text import LETTERS, Words, chunked, text_bytes
 from tarnbeck.sources.tables import table
 
 BITS = 18
-RANK, OVERSAMPLE, POWER_STEPS = 256, 16, 2
+RANK, OVERSAMPLE, POWER_STEPS = 128, 16, 2
 #: Items that share a latent space, and words of the items of a block.
 SPACE_ITEMS, BLOCK_WORDS = 256, 100_000
 #: Windows of documents: words, and words from one to the next.
 SCALES = ((16, 8), (48, 16))
 #: Words of a passage, as many as of the smallest windows, or all of a longer stretch of an item.
 PASSAGE_WORDS, STRETCH_WORDS = 16, 64
-#: How close together two of an item's rarer words are to be.
-NEAR_WORDS = 48
+#: One in so many of an item's different words are to stand close together, two at least,
+#: and within how many words, or half as many again as the item has.
+NEAR_SHARE, NEAR_WORDS = 4, 48
 COSINE = 0.45
 SIMILAR = 0.8
-PARAPHRASED = 0.5
+PARAPHRASED, PARAPHRASED_WEIGHT = 0.5, 0.4
 ANSWER_WORDS = 8
 SENTENCE = re.compile(rb"[.!?\n]\s*(?=\S)")
 
@@ -116,11 +117,17 @@ def passages_of(item: Item) -> list[np.ndarray]:
     return [words[s : s + PASSAGE_WORDS] for s in starts] + [words[s : s + STRETCH_WORDS] for s in stretches]
 
 
+def least_near(item: Item) -> int:
+    """How many of the item's rarer words are to stand close together."""
+    n = len(np.unique(item.words))
+    return max(min(2, n), -(-n // NEAR_SHARE))
+
+
 def rarer_words(item: Item, frequencies: np.ndarray) -> np.ndarray:
-    """The rarer half of the item's different words and two more, by document frequency."""
+    """Half of the item's different words and `least_near` more, the rarest by document frequency."""
     words = np.unique(item.words)
     order = np.lexsort((words, frequencies[_bucket(words)]))
-    return words[order[: len(words) // 2 + 2]]
+    return words[order[: len(words) // 2 + least_near(item)]]
 
 
 @dataclass
@@ -129,7 +136,7 @@ class Space:
 
     vocabulary: np.ndarray  # hashes
     place: np.ndarray  # of a bucket, in the vocabulary, or -1
-    vectors: np.ndarray  # vocabulary x rank, times IDF
+    vectors: np.ndarray  # vocabulary x rank, times IDF; the last row is zero, for other words
     passages: np.ndarray  # rank x passages, of unit length
     owner: np.ndarray  # item of each passage, by its place in the block, ascending
 
@@ -142,9 +149,11 @@ class Block:
     rare: np.ndarray  # hashes of rarer words of any item, ascending
     first: np.ndarray  # where the items of each start in `owner`
     owner: np.ndarray
-    least: np.ndarray  # how many rarer words of an item are to be near each other
+    least: np.ndarray  # how many rarer words of an item are to be close together
+    span: np.ndarray  # and within how many words
     spaces: list[Space]
     space_of: np.ndarray
+    weight: list[np.ndarray]  # of each item's words
 
 
 def block_of(spark: SparkSession, items: list[Item], frequencies: np.ndarray, idf: np.ndarray) -> Block | None:
@@ -161,8 +170,9 @@ def block_of(spark: SparkSession, items: list[Item], frequencies: np.ndarray, id
         if pieces:
             space_of[a : a + SPACE_ITEMS] = len(spaces)
             spaces.append(latent_space(spark, pieces, idf))
-    least = np.array([min(2, len(np.unique(item.words))) for item in items])
-    return Block(items, words, np.append(first, len(word)), owner[order], least, spaces, space_of)
+    least = np.array([least_near(item) for item in items])
+    span = np.array([max(NEAR_WORDS, 3 * len(item.words) // 2) for item in items])
+    return Block(items, words, np.append(first, len(word)), owner[order], least, span, spaces, space_of, [idf[_bucket(item.words)] for item in items])
 
 
 def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray) -> Space:
@@ -219,7 +229,7 @@ def latent_space(spark: SparkSession, pieces: list[tuple[int, np.ndarray]], idf:
     vectors = basis @ turn[:, keep]
     passages = np.stack([v @ vectors[c] for c, v in rows], axis=1)
     passages /= np.maximum(np.sqrt((passages**2).sum(axis=0)), 1e-12)
-    weighted = (vectors * idf[bucket][:, None]).astype(np.float32)
+    weighted = np.concatenate([vectors * idf[bucket][:, None], np.zeros((1, len(keep)))]).astype(np.float32)
     return Space(vocabulary, place, weighted, passages.astype(np.float32), np.array([i for i, _ in pieces]))
 
 
@@ -237,6 +247,17 @@ def common_subsequence(needle: np.ndarray, words: np.ndarray) -> int:
     return len(needle) - row.bit_count()
 
 
+def common_weight(needle: np.ndarray, weight: np.ndarray, words: np.ndarray) -> float:
+    """The weight of the heaviest common subsequence, as a share of the needle's."""
+    row = np.zeros(len(needle) + 1)
+    for word in words:
+        match = np.flatnonzero(needle == word)
+        if len(match):
+            row[match + 1] = np.maximum(row[match + 1], row[match] + weight[match])
+            row = np.maximum.accumulate(row)
+    return float(row[-1] / weight.sum()) if len(weight) else 0.0
+
+
 #: Of each text and item the windows, (start, end), with their highest cosine.
 Candidates = dict[tuple[int, int], dict[tuple[int, int], float]]
 
@@ -250,10 +271,21 @@ def near_words(w: Words, hashes: np.ndarray, block: Block) -> tuple[np.ndarray,
     item = block.owner[np.repeat(block.first[place] - np.cumsum(n) + n, n) + np.arange(n.sum())]
     word = np.repeat(at, n)
     order = np.lexsort((word, item))
-    item, word = item[order], word[order]
-    with_next = np.zeros(len(item) + 1, bool)
-    with_next[1:-1] = (item[1:] == item[:-1]) & (w.doc[word[1:]] == w.doc[word[:-1]]) & (word[1:] - word[:-1] <= NEAR_WORDS)
-    keep = with_next[1:] | with_next[:-1] | (block.least[item] < 2)
+    item, word, place = item[order], word[order], np.repeat(place, n)[order]
+    # Of one word again and again the first and the last are enough.
+    same = (item[1:] == item[:-1]) & (place[1:] == place[:-1]) & (w.doc[word[1:]] == w.doc[word[:-1]])
+    inner = np.zeros(len(item), bool)
+    inner[1:-1] = same[1:] & same[:-1]
+    item, word = item[~inner], word[~inner]
+    # From each word to the one that makes them enough: those in between are near each other.
+    opens = np.arange(len(item))
+    last = np.minimum(opens + block.least[item] - 1, len(item) - 1)
+    close = (item[last] == item) & (last - opens == block.least[item] - 1) & (w.doc[word[last]] == w.doc[word])
+    opens = np.flatnonzero(close & (word[last] - word < block.span[item]))
+    keep = np.zeros(len(item) + 1, np.int64)
+    np.add.at(keep, opens, 1)
+    np.add.at(keep, last[opens] + 1, -1)
+    keep = np.cumsum(keep)[:-1] > 0
     return item[keep], word[keep]
 
 
@@ -269,7 +301,11 @@ def add_candidates(found: Candidates, w: Words, hashes: np.ndarray, block: Block
         n = np.minimum(own // step, most) - low + 1
         k = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         start = w.first[np.repeat(w.doc[at], n)] + k * step
-        window, item = np.unique(np.stack([np.repeat(items, n), start]), axis=1)[::-1]
+        # Windows that hold half as many of the words as are to be close together.
+        key, times = np.unique(np.repeat(items, n) * len(hashes) + start, return_counts=True)
+        item, window = np.divmod(key, len(hashes))
+        enough = 2 * times >= block.least[item]
+        item, window = item[enough], window[enough]
         doc = w.doc[window]
         end = np.minimum(window + width, w.first[doc] + w.count[doc])
         space_of = block.space_of[item]
@@ -286,18 +322,20 @@ def add_candidates(found: Candidates, w: Words, hashes: np.ndarray, block: Block
 
 def latent_cosine(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, item: np.ndarray, space: Space) -> np.ndarray:
     """The highest cosine of each window and a passage of its item; items are ascending."""
-    size = end - start
+    start, first, window = np.unique(start, return_index=True, return_inverse=True)
+    size = end[first] - start
     word = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
     place = space.place[_bucket(hashes[word])]
     known = (place >= 0) & (space.vocabulary[place] == hashes[word])
-    rows = space.vectors[place] * known[:, None]
+    rows = space.vectors[np.where(known, place, len(space.vectors) - 1)]
     sums = np.add.reduceat(rows, np.cumsum(size) - size, axis=0)
-    length = np.sqrt((sums**2).sum(axis=1))
-    out = np.zeros(len(start))
+    sums /= np.maximum(np.sqrt((sums**2).sum(axis=1)), 1e-9)[:, None]
+    sums = sums[window]
+    out = np.zeros(len(item))
     edge = np.concatenate([[0], np.flatnonzero(np.diff(item)) + 1, [len(item)]])
     for a, b in zip(edge, edge[1:], strict=False):
         mine = slice(*np.searchsorted(space.owner, [item[a], item[a] + 1]))
-        out[a:b] = (sums[a:b] @ space.passages[:, mine]).max(axis=1) / np.maximum(length[a:b], 1e-9)
+        out[a:b] = (sums[a:b] @ space.passages[:, mine]).max(axis=1)
     return out
 
 
@@ -316,7 +354,12 @@ def found_in(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, float
             around = hashes[max(first, start_i - reach) : min(first + count, end_i + reach)]
             share = common_subsequence(item.words, around) / max(reach, 1)
             answer = common_subsequence(item.answer, around) / max(len(item.answer), 1)
-            if share >= SIMILAR or (share >= PARAPHRASED and answer >= SIMILAR):
+            enough = share >= SIMILAR or (
+                share >= PARAPHRASED
+                and answer >= SIMILAR
+                and common_weight(item.words, block.weight[item_i], around) >= PARAPHRASED_WEIGHT
+            )
+            if enough:
                 result[doc_i, item_i] = max(result.get((doc_i, item_i), (0.0, 0.0, 0.0)), (share, answer, cosine_i))
             if share == answer == 1:  # no window of a lower cosine can have more
                 break

@@ -9,7 +9,7 @@ from brute import brute_windows, phases
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarnbeck.llm.decontaminate import common_subsequence, contaminated, op5_decontaminate
+from tarnbeck.llm.decontaminate import common_subsequence, common_weight, contaminated, op5_decontaminate
 from tarnbeck.llm.language import op1_language
 from tarnbeck.llm.mixing import mix, op3_mixing, quotas, schedule
 from tarnbeck.llm.simhash import near_duplicates
@@ -217,6 +217,13 @@ def test_common_subsequence():
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
         assert common_subsequence(np.array(a, np.uint64), np.array(b, np.uint64)) == table[-1][-1]
+        weight = [rng.random() for _ in range(5)]
+        heavy = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                heavy[i + 1][j + 1] = max(heavy[i][j + 1], heavy[i + 1][j], heavy[i][j] + weight[x] * (x == y))
+        got = common_weight(np.array(a, np.uint64), np.array([weight[x] for x in a]), np.array(b, np.uint64))
+        assert abs(got - (heavy[-1][-1] / sum(weight[x] for x in a) if a else 0)) < 1e-9
 
 
 def test_decontamination_finds_all_verbatim_items(spark):
@@ -298,6 +305,27 @@ def test_decontamination_finds_an_item_of_a_third_of_the_documents(spark, docume
     assert {(r.doc_id, r.item_id) for r in contaminated(documents(rows), benchmark).collect()} == want
 
 
+def test_the_latent_space_has_fewer_dimensions_than_passages(spark, monkeypatch):
+    """Windows with the words of a passage have cosine 1 with it whatever the rank, others have not."""
+    import numpy as np
+
+    from tarnbeck.llm import decontaminate as d
+
+    monkeypatch.setattr(d, "RANK", 12)
+    rng = random.Random(2)
+    items = [d.item_of(i, " ".join(f"w{rng.randrange(400)}" for _ in range(40)).encode()) for i in range(30)]
+    idf = np.ones(1 << d.BITS)
+    block = d.block_of(spark, items, np.zeros(1 << d.BITS, np.int64), idf)
+    (space,) = block.spaces
+    assert space.vectors.shape[1] == 12 < space.passages.shape[1] == 30 * 26
+    hashes = np.concatenate([item.words for item in items])
+    start = np.concatenate([np.arange(40 * i, 40 * i + 25) for i in range(30)])
+    own = np.repeat(np.arange(30), 25)
+    assert d.latent_cosine(hashes, start, start + 16, own, space).min() > 0.999
+    other = d.latent_cosine(hashes, start[25:], start[25:] + 16, own[:-25], space)
+    assert np.median(other) < 0.9
+
+
 def test_decontamination_checks_every_window_near_an_item(spark, documents):
     """Quotations, closer to the item by the cosine, are strewn before and after its paraphrase."""
     rng = random.Random(9)
