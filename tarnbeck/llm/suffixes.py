@@ -210,6 +210,7 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
     kept: list[pa.RecordBatch] = []
     size, limit = 0, SORT_BYTES
     for batch in batches:
+        batch = batch.select(["anchor", "content", "whole", "stretch"])
         for at in range(0, batch.num_rows, 1024):
             kept.append(batch.slice(at, 1024))
             size += kept[-1].nbytes

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -68,12 +69,25 @@ def odd_texts(rng, n):
     return [(i, " ".join(rng.choice(parts[:-6] if i % 4 else parts) for _ in range(rng.randint(1, 30)))) for i in range(n)]
 
 
-@pytest.mark.parametrize("hot_pairs,segments", [(1 << 18, 300_000), (40, 20), (0, 300_000)])
-def test_alignment_is_the_brute_force(documents, monkeypatch, hot_pairs, segments):
-    """With most or all pairs joined instead of broadcast, and with a memory that is full at once."""
-    monkeypatch.setattr(alignment, "RUN_TOKENS", 100)
-    monkeypatch.setattr(alignment, "PAIRS", 30)
-    monkeypatch.setattr(alignment, "SEGMENTS", segments)
+def test_a_small_memory_of_segments_changes_nothing(monkeypatch):
+    """Segments forgotten, taken over and met again; batches aligned in runs of few tokens."""
+    texts = [t for _, t in odd_texts(random.Random(1), 200)] + [None, "", "x" * 500]
+    seen = []
+    for limit, run in ((10**6, 10**6), (15, 40)):
+        monkeypatch.setattr(alignment, "SEGMENTS", limit)
+        monkeypatch.setattr(alignment, "RUN_TOKENS", run)
+        monkeypatch.setattr(alignment, "_remembered", {})
+        packed = [alignment.segments(A, B).of(texts[i : i + 5]) for i in range(0, len(texts), 5)]
+        batches = [pa.RecordBatch.from_arrays(columns, names=["a", "b"]) for columns in packed]
+        both = alignment.tokenizers(A, B)
+        found = [(part.num_rows, a) for part, a in alignment._aligned(iter(batches), both.lengths, both.id_type())]
+        seen.append(([c.to_pylist() for columns in packed for c in columns], [g for _, a in found for g in a.groups()]))
+    assert seen[0] == seen[1] and len(seen[0][1]) == len(texts)
+
+
+@pytest.mark.parametrize("hot_pairs", [1 << 18, 40, 0])
+def test_alignment_is_the_brute_force(documents, hot_pairs):
+    """With most or all pairs joined instead of broadcast too."""
     rows = odd_texts(random.Random(hot_pairs), 120)
     rows += [(500, None), (501, ""), (502, " "), (503, "  a "), (504, "▁"), (505, "x" * 3000), (3, rows[3][1]), (None, rows[4][1]), (506, rows[4][1])]
     got = align(documents(rows), hot_pairs=hot_pairs).collect()

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from brute import brute_windows
@@ -217,8 +218,6 @@ def digest(rows):
 def test_strings_are_the_brute_force(documents, monkeypatch, bits, hot):
     """With a sketch far too small, and with every anchor of the sample, here all texts, split."""
     monkeypatch.setattr(suffixes, "SAMPLE_SHARE", 1)
-    monkeypatch.setattr(suffixes, "HOT_WIDTH", 5)
-    monkeypatch.setattr(suffixes, "SORT_BYTES", 5_000)
     rng = random.Random(bits)
     shared = ["".join(rng.choice("abé ") for _ in range(rng.randint(5, 120))) for _ in range(5)]
     rows = [
@@ -237,6 +236,26 @@ def test_strings_edge_cases(documents, clashing):
     assert digest(got) == Counter(brute_strings(rows, 20))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_sorting_in_pieces_is_sorting_at_once(monkeypatch, seed):
+    """Rows of a bucket with copies and frequent anchors, held a few at a time."""
+    rng = random.Random(seed)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(20, 60))).encode() for _ in range(300)]
+    rows = []
+    for text in texts:
+        anchor = rng.choice([1, 1, 1, rng.randint(2, 40)])
+        rows += [(7, anchor, xxhash.xxh64_intdigest(text) >> 1, rng.random() < 0.1, text if k == 0 else rng.choice([text, None])) for k in range(rng.randint(1, 4))]
+    rows.sort(key=lambda r: r[1:3])
+    table = pa.table(dict(zip(("bucket", "anchor", "content", "whole", "stretch"), map(list, zip(*rows, strict=True)), strict=True)))
+
+    def found(limit, batch):
+        monkeypatch.setattr(suffixes, "SORT_BYTES", limit)
+        out = suffixes.sorted_runs(iter(table.to_batches(batch)), 20)
+        return sorted(tuple(r.values()) for b in out for r in b.to_pylist())
+
+    assert found(1 << 30, 10_000) and found(1 << 30, 10_000) == found(100, 7) == found(5_000, 64)
+
+
 @pytest.mark.parametrize("hot", [2000, 3])
 def test_long_strings_with_hot_passages(documents, monkeypatch, hot):
     """At the query's length: a passage in a third of the texts, and a phrase too short to go in half of them."""
