@@ -11,7 +11,7 @@ from tarnbeck.llm.neighbours import op2_neighbours
 from tarnbeck.llm.quality import op7_quality
 from tarnbeck.llm.runs import OP12_SQL, op12_runs
 from tarnbeck.llm.simhash import op8_simhash
-from tarnbeck.llm.suffixes import op10_suffixes
+from tarnbeck.llm.suffixes import OP10_SQL, op10_suffixes
 from tarnbeck.llm.toxicity import op9_toxicity
 from tarnbeck.llm.urls import op4_urls
 from tarnbeck.llm.windows import OP6_SQL, op6_windows
@@ -32,4 +32,9 @@ QUERIES = {
     "op13_topk": op13_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_windows": OP6_SQL, "op12_runs": OP12_SQL, "op13_topk": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_windows": OP6_SQL,
+    "op10_suffixes": OP10_SQL,
+    "op12_runs": OP12_SQL,
+    "op13_topk": OP13_SQL,
+}

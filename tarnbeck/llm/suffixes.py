@@ -404,3 +404,49 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+#: Every string of 200 bytes by its hash; those there more than once, put together to spans.
+OP10_SQL = """
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS data FROM documents
+),
+windows AS (
+    SELECT row, i, md5(data[i + 1:i + 200]) AS content
+    FROM (SELECT row, data, unnest(range(0, octet_length(data) - 199)) AS i FROM docs)
+),
+again AS (
+    SELECT content FROM windows GROUP BY content HAVING count(*) > 1
+),
+starts AS (
+    SELECT row, i, i - row_number() OVER (PARTITION BY row ORDER BY i) AS island
+    FROM windows SEMI JOIN again USING (content)
+),
+runs AS (
+    SELECT row, min(i) AS low, max(i) + 200 AS high FROM starts GROUP BY row, island
+),
+marked AS (
+    SELECT *, max(high) OVER (PARTITION BY row ORDER BY low ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM runs
+),
+numbered AS (
+    SELECT *, count(*) FILTER (WHERE reach IS NULL OR low > reach) OVER (PARTITION BY row ORDER BY low) AS span FROM marked
+),
+spans AS (
+    SELECT row, min(low) AS low, max(high) AS high FROM numbered GROUP BY row, span
+),
+edges AS (
+    SELECT d.row, d.doc_id, d.data,
+           coalesce(list(s.low ORDER BY s.low) FILTER (WHERE s.low IS NOT NULL), []) AS low,
+           coalesce(list(s.high ORDER BY s.low) FILTER (WHERE s.low IS NOT NULL), []) AS high
+    FROM docs d LEFT JOIN spans s ON d.row = s.row GROUP BY d.row, d.doc_id, d.data
+)
+SELECT doc_id,
+       octet_length(data)::BIGINT AS n_bytes,
+       coalesce(list_sum(high) - list_sum(low), 0)::BIGINT AS n_removed,
+       len(low)::BIGINT AS n_spans,
+       sha256(unhex(array_to_string(list_transform(
+           list_zip(list_concat([0], high), list_concat(low, [octet_length(data)])),
+           lambda p: hex(data[p[1] + 1:p[2]])
+       ), ''))) AS kept_sha256
+FROM edges
+"""

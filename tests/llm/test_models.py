@@ -7,10 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
+from tarnbeck.llm import quality as quality_module
+from tarnbeck.llm import toxicity as toxicity_module
 from tarnbeck.llm.labelled import sample_per_label
 from tarnbeck.llm.language import identify_language, marginals, op1_language
 from tarnbeck.llm.neighbours import TARGET, balanced_parts, fit, nearest, neighbour_graph, op2_neighbours, parts_by_probability, search
 from tarnbeck.llm.quality import op7_quality, quality
+from tarnbeck.llm.text import Words
 from tarnbeck.llm.toxicity import op9_toxicity, toxicity
 
 SF = "/root/testdata/sf0.1"
@@ -93,6 +96,77 @@ def test_forward_backward_in_pieces_is_that_of_the_whole():
         np.testing.assert_allclose(got[:, a : a + c].T, both / both.sum(axis=1, keepdims=True), atol=1e-9)
 
 
+def some_texts(rng, n):
+    words = ["alpha", "beta", "gamma", "delta", "Eps", "zeta9", "eta!", "theta"]
+    return [" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))).encode() for _ in range(n)]
+
+
+def test_coordinate_descent_reaches_the_optimum(monkeypatch):
+    """Against the dual problem solved by projected gradient steps over all rows at once."""
+    monkeypatch.setattr(quality_module, "PASSES", 400)
+    rng = random.Random(2)
+    texts = some_texts(rng, 40)
+    labels = np.array([int(b"zeta9" in t or rng.random() < 0.2) for t in texts])
+    ratios = np.random.default_rng(3).normal(size=quality_module.BUCKETS)
+    weights, bias = quality_module.train(texts, labels, ratios)
+    x = np.zeros((len(texts), quality_module.BUCKETS + 1))
+    for row, found in zip(x, quality_module.indicators(texts), strict=True):
+        row[found] = ratios[found]
+        row /= np.sqrt(row @ row)
+        row[-1] = 1
+    sign = np.where(labels == 1, 1.0, -1.0)
+    gram = (x @ x.T) * np.outer(sign, sign)
+    alpha = np.zeros(len(texts))
+    step = 1 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(40_000):
+        alpha = np.clip(alpha - step * (gram @ alpha - 1), 0, quality_module.COST)
+    best = (alpha * sign) @ x
+    got = np.append(weights / ratios, bias)
+    np.testing.assert_allclose(x @ got, x @ best, atol=2e-3)
+
+
+def test_joint_training_is_the_plain_one(monkeypatch):
+    """Adam over embeddings and softmax, text by text and word by word."""
+    monkeypatch.setattr(toxicity_module, "STEPS", 4)
+    monkeypatch.setattr(toxicity_module, "TELLING", -1.0)  # every n-gram stays
+    monkeypatch.setattr(toxicity_module, "DIMENSIONS", 3)
+    rng = random.Random(4)
+    texts = some_texts(rng, 12)
+    labels = np.array([i % 3 == 0 for i in range(12)], np.int64)
+    numbers, bias = toxicity_module.train(texts, labels)
+
+    t = toxicity_module
+    grams = {}
+    for word in {w for x in texts for w in x.lower().split()}:
+        grams[word] = np.concatenate([b for _, b in Words([word], folded=True).ngram_buckets(t.SIZES, t.BITS)]).astype(np.int64)
+    start = np.random.default_rng(7)
+    n = 1 << t.BITS
+    params = [start.normal(0, 0.1, (n, 3)), start.normal(0, 0.1, (3, 2)), np.zeros(2)]
+    moments = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
+    share = labels.mean()
+    for step in range(1, t.STEPS + 1):
+        vectors, softmax, offset = params
+        grads = [t.DECAY / n * vectors, 1e-4 * softmax, np.zeros(2)]
+        for text, label in zip(texts, labels, strict=True):
+            words = text.lower().split()
+            factor = t.SCALE / (len(words) + t.PAD)
+            bag = sum(factor * vectors[grams[w]].sum(axis=0) / len(grams[w]) for w in words)
+            p = np.exp(bag @ softmax + offset)
+            error = (p / p.sum() - np.eye(2)[label]) * (0.5 / (share if label else 1 - share)) / len(texts)
+            grads[1] = grads[1] + np.outer(bag, error)
+            grads[2] = grads[2] + error
+            for w in words:
+                np.add.at(grads[0], grams[w], factor * (softmax @ error) / len(grams[w]))
+        for i, (g, (m, v)) in enumerate(zip(grads, moments, strict=True)):
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            params[i] = params[i] - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    want = t.SCALE * params[0] @ (params[1][:, 1] - params[1][:, 0])
+    seen = np.unique(np.concatenate(list(grams.values())))
+    np.testing.assert_allclose(numbers[seen] / t.UNIT, want[seen], atol=5e-3 * np.abs(want[seen]).max())
+    assert abs(bias - (params[2][1] - params[2][0])) < 1e-3
+
+
 ODD = [(1, None), (2, ""), (3, " \n"), (4, "12 ... 34"), (5, "x" * 300_000), (6, "wort " * 50_000), (6, "wort"), (None, "a")]
 
 
