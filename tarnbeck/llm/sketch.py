@@ -82,9 +82,9 @@ def _unpack(packed: bytes, size: int) -> np.ndarray:
 
 
 def repeated_cells(
-    rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int
+    rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, least: int = 2
 ) -> Broadcast:
-    """For each row of the sketch a bit array of the cells that at least two of the hashes fall in.
+    """For each row of the sketch a bit array of the cells that at least two, or `least` one, of the hashes fall in.
 
     `hashes_of` gives the hashes of a batch in parts of any size.
     """
@@ -121,9 +121,9 @@ def repeated_cells(
     some = counted.repartition("slice", "stream").sortWithinPartitions("slice").drop("stream").mapInArrow(merge, schema)
     merged = some.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, schema)
     bitmaps = [np.zeros(1 << max(bits - 3, 0), np.uint8) for _ in range(ROWS)]
-    for number, twice in merged.select("slice", "twice").collect():
+    for number, packed in merged.select("slice", "twice" if least == 2 else "once").collect():
         row, k = number >> 32, number & 0xFFFFFFFF
-        bitmaps[row][k * size : (k + 1) * size] = _unpack(twice, size)
+        bitmaps[row][k * size : (k + 1) * size] = _unpack(packed, size)
     return rows.sparkSession.sparkContext.broadcast(bitmaps)
 
 
@@ -135,7 +135,7 @@ def _packed(number: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
 
 
 def estimated_repeated(hashes: np.ndarray, bitmaps: list[np.ndarray], bits: int) -> np.ndarray:
-    """For each hash whether its cells in all rows hold at least two."""
+    """For each hash whether its cells in all rows hold at least two, or what the bit arrays were made for."""
     found = np.ones(len(hashes), bool)
     for bitmap, cell in zip(bitmaps, cells(hashes, bits), strict=True):
         cell = cell.astype(np.int64)

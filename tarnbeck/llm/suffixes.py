@@ -11,7 +11,8 @@ repeated for certain. Splitters from a sample of leading tokens, the first 8 byt
 anchors, range-partition the stretches. Each bucket sorts the suffixes of its distinct
 stretches by multikey quicksort, 8 bytes a key; those still tied after LENGTH bytes are
 repeated. A bucket holds all suffixes of its anchors, so ties never cross its boundary.
-The runs of repeated strings found in a stretch are then joined with its places.
+The runs of repeated strings found in a stretch are then joined with its places; a second
+sketch, of the stretches that have such runs, leaves the places of most others at home.
 
 An anchor found in very many stretches, as a frequent phrase is, would be one task's
 work. In those of a sample the strings are dealt out further, by all the bytes that
@@ -318,7 +319,7 @@ def repeated_strings(
                     names=["bucket", "anchor", "content", "whole", "stretch"],
                 )
 
-    runs = (
+    runs = stored(
         docs.select("text")
         .mapInArrow(send, "bucket int, anchor long, content long, whole boolean, stretch binary")
         .repartition("bucket")
@@ -326,12 +327,20 @@ def repeated_strings(
         .mapInArrow(lambda batches: sorted_runs(batches, length), "anchor long, content long, low long, high long")
     )
 
+    def contents(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield batch.column("content").to_numpy().view(np.uint64)
+
+    with_runs = repeated_cells(runs.select("content").distinct(), contents, bits, least=1)
+
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Where stretches are. Those with copies among the same texts need no join: they get keys of their own."""
         for batch in batches:
             for base, s in repeated(batch):
                 s.split(hot.value, gram)
                 content = s.content()
+                keep = np.flatnonzero(estimated_repeated(content, with_runs.value, bits))
+                s.take(keep)
+                content = content[keep]
                 _, kind, copies = np.unique(content, return_inverse=True, return_counts=True)
                 whole = copies[kind] > 1
                 at = pa.array(base + s.doc)
