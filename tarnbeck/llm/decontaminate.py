@@ -350,8 +350,20 @@ def found_in(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, float
         item = block.items[item_i]
         reach = len(item.words)
         first, count = w.first[doc_i], w.count[doc_i]
-        for (start_i, end_i), cosine_i in sorted(windows.items(), key=lambda x: (-x[1], x[0])):
-            around = hashes[max(first, start_i - reach) : min(first + count, end_i + reach)]
+        # Words that are not the item's are in no common subsequence.
+        low = max(first, min(windows)[0] - reach)
+        stretch = hashes[low : min(first + count, max(e for _, e in windows) + reach)]
+        own = np.flatnonzero(np.isin(stretch, item.words))
+        stretch = stretch[own]
+        in_vain: list[tuple[int, int]] = []
+        # The longest first: what they do not hold, stretches within them do not hold either.
+        for (start_i, end_i), cosine_i in sorted(windows.items(), key=lambda x: (x[0][0] - x[0][1], -x[1], x[0])):
+            if any(a <= start_i and end_i <= b for a, b in in_vain):
+                continue
+            around = stretch[slice(*np.searchsorted(own, [start_i - reach - low, end_i + reach - low]))]
+            if len(around) < PARAPHRASED * reach:
+                in_vain.append((start_i, end_i))
+                continue
             share = common_subsequence(item.words, around) / max(reach, 1)
             answer = common_subsequence(item.answer, around) / max(len(item.answer), 1)
             enough = share >= SIMILAR or (
@@ -361,6 +373,8 @@ def found_in(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, float
             )
             if enough:
                 result[doc_i, item_i] = max(result.get((doc_i, item_i), (0.0, 0.0, 0.0)), (share, answer, cosine_i))
+            else:
+                in_vain.append((start_i, end_i))
             if share == answer == 1:  # no window of a lower cosine can have more
                 break
     for (doc_i, item_i), (share, answer, cosine_i) in sorted(result.items()):
