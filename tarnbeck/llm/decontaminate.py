@@ -27,7 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -38,6 +38,8 @@ BITS = 18
 RANK, OVERSAMPLE, POWER_STEPS = 128, 16, 2
 #: Items that share a latent space, and words of the items of a block.
 SPACE_ITEMS, BLOCK_WORDS = 256, 100_000
+#: Characters of the items that come to the driver at a time, about; as many as a block may have.
+READ_CHARS = 6 * BLOCK_WORDS
 #: Windows of documents: words, and words from one to the next.
 SCALES = ((16, 8), (48, 16))
 #: Words of a passage, as many as of the smallest windows, or all of a longer stretch of an item.
@@ -381,6 +383,18 @@ def found_in(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, float
         yield doc_i, item_i, cosine_i, share, answer
 
 
+def _by_part(benchmark: DataFrame) -> Iterator[Row]:
+    """The items with a text, those of a part of them at a time, each part sorted and read by one job.
+
+    Parts go by a hash. A sorted table read in turn would take a job for each partition.
+    """
+    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
+    parts = (items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0) // READ_CHARS + 1
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    for k in range(parts):
+        yield from sorted(items.where(part == k).collect(), key=lambda r: (r.item_id is not None, r.item_id, r.text))
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine, similarity and answer for each item of `benchmark` found in a document.
 
@@ -423,8 +437,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     out: list[DataFrame | None] = []
     block: list[Item] = []
     size = 0
-    rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).orderBy("item_id", "text")
-    for row in rows.toLocalIterator():
+    for row in _by_part(benchmark):
         item = item_of(row.item_id, row.text.encode())
         if block and size + len(item.words) > BLOCK_WORDS:
             out.append(search(block))

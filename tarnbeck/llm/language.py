@@ -262,8 +262,12 @@ def identify_language(
     `runs` lists (first word, one past the last word, language) for each maximal run.
     """
     sample = sample_per_label(labelled, "lang", per_language)
-    field = train([r.text.encode() for r in sample], [r.lang for r in sample])
-    model = documents.sparkSession.sparkContext.broadcast(field)
+    context = documents.sparkSession.sparkContext
+    examples = context.broadcast(([r.text.encode() for r in sample], [r.lang for r in sample]))
+    # Training takes many times the memory of the sample, and much of it would stay with the driver.
+    field = context.parallelize([0], 1).map(lambda _: train(*examples.value)).first()
+    examples.destroy()
+    model = context.broadcast(field)
     carry = tuple(c for c in carry if c not in ("lang_pred", "score", "runs"))
     docs = documents.select("text", *(c for c in carry if c != "text"))
     unread = () if "text" in carry else ("text",)

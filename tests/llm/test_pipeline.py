@@ -1,11 +1,15 @@
 """The pipeline's stages on odd inputs and with columns of any name."""
 
+import os
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tarnbeck.llm.decontaminate import contaminated
+from tarnbeck.llm.language import Field, identify_language
 from tarnbeck.llm.mixing import ADDED
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -59,3 +63,32 @@ def test_odd_rows_and_clashing_columns(spark, documents, name, stage):
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_empty_table(spark, documents, name, stage):
     assert stage(spark, with_clashing(documents([])), SMALLEST).collect() == []
+
+
+def test_training_leaves_nothing_with_the_driver(documents, monkeypatch):
+    def where(texts, languages):
+        return Field([str(os.getpid())], np.zeros((1, 1 << 16), np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((1, 1), np.int64), np.ones((1, 1)))
+
+    monkeypatch.setattr("tarnbeck.llm.language.train", where)
+    docs = documents([(1, "the cat"), (2, "the dog")])
+    got = {r.lang_pred for r in identify_language(docs, docs, runs=False).collect()}
+    assert len(got) == 1 and got != {str(os.getpid())}
+
+
+@pytest.mark.parametrize("chars,most", [(600_000, 25), (50, 80)])
+def test_items_are_read_by_few_jobs(spark, documents, conf, monkeypatch, chars, most):
+    """As many as parts, not as shuffle partitions."""
+    conf("spark.sql.shuffle.partitions", "100")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr("tarnbeck.llm.decontaminate.READ_CHARS", chars)
+    items = [(None if i == 3 else i, " ".join(f"{w}{i}" for w in ("ein", "wort", "und", "noch", "mehr", "davon"))) for i in range(40)]
+    docs = documents([(i, f"vorher {text} nachher") for i, text in items])
+    benchmark = spark.createDataFrame([*items, (40, None), (41, "")], "item_id int, text string").repartition(100, "text")
+    spark.sparkContext.setJobGroup(f"items {chars}", "")
+    try:
+        found = contaminated(docs, benchmark)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"items {chars}"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= most
+    assert Counter((r.doc_id, r.item_id) for r in found.collect()) == Counter((i, i) for i, _ in items)
